@@ -47,6 +47,13 @@ def error_metrics(y: Column, yhat: Column) -> dict[str, Column]:
     }
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation, null where a side does not vary (``corr`` fails there in ANSI mode)."""
+    a = F.when(b.isNotNull(), a)
+    b = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 # Coefficients of Acklam's rational approximation of the inverse normal.
 _A = (-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239)
 _B = (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfspark.functions.stats import error_metrics
+from shelfspark.functions.stats import correlation, error_metrics
 from shelfspark.operators.joins import sized
 from shelfspark.operators.quantiles import exact_quantiles
 
@@ -103,10 +103,9 @@ def numeric_columns(df: DataFrame, without: Sequence[str] = ()) -> list[str]:
 def target_correlations(train: DataFrame, target: str = "sales") -> DataFrame:
     """(column, correlation, leak) for every numeric column, from one aggregation."""
     columns = numeric_columns(train, [target])
-    # Without variation the correlation is undefined: null, not NaN.
-    wide = train.agg(*[F.corr(c, target).alias(c) for c in columns])
+    wide = train.agg(*[correlation(F.col(c), F.col(target)).alias(c) for c in columns])
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("correlation")) for c in columns])
-    value = F.when(~F.isnan("correlation"), F.col("correlation"))
+    value = F.col("correlation")
     return wide.select(F.inline(pairs)).select(
         "column",
         value.alias("correlation"),
@@ -126,16 +125,16 @@ def rule_flags(train: DataFrame, target: str = "sales", date_col: str = "date")
             F.lit(features > MANY_FEATURES).alias("flagged"),
         ),
         F.struct(
-            F.lit("train_rows"),
-            F.col("rows").cast("double"),
-            F.lit(float(FEW_ROWS)),
-            F.col("rows") < FEW_ROWS,
+            F.lit("train_rows").alias("rule"),
+            F.col("rows").cast("double").alias("value"),
+            F.lit(float(FEW_ROWS)).alias("limit"),
+            (F.col("rows") < FEW_ROWS).alias("flagged"),
         ),
         F.struct(
-            F.lit("zero_sales"),
-            F.col("zeros").cast("double"),
-            F.col("rows") * F.lit(ZERO_SHARE),
-            F.col("zeros") > F.col("rows") * F.lit(ZERO_SHARE),
+            F.lit("zero_sales").alias("rule"),
+            F.col("zeros").cast("double").alias("value"),
+            (F.col("rows") * F.lit(ZERO_SHARE)).alias("limit"),
+            (F.col("zeros") > F.col("rows") * F.lit(ZERO_SHARE)).alias("flagged"),
         ),
     )
     return counts.select(F.inline(rules))

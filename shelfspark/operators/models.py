@@ -72,7 +72,7 @@ def fit_trees(data: StoreData, cfg: TreeConfig) -> PipelineModel:
         stepSize=cfg.rate,
         seed=cfg.seed,
         validationIndicatorCol="is_validation",
-        validationTol=cfg.patience_tolerance,
+        validationTol=cfg.validation_tolerance,
         maxMemoryInMB=1024,
     )
     assembled = assembler.transform(rows).select("features", TARGET, "is_validation")
