@@ -17,30 +17,40 @@ def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
     return sales.join(stores, "Store", "left")
 
 
+def _filled(name: str, kind: str, default: object) -> Column:
+    return F.coalesce(F.col(name).cast(kind), F.lit(default).cast(kind))
+
+
+def sales_fields() -> dict[str, Column]:
+    """Prepared fields that come from the sales table."""
+    school = _filled("SchoolHoliday", "int", 0)
+    return {
+        "date": F.to_date("Date"),
+        "store_id": text.store_key(F.col("Store")),
+        "sales": text.number(F.col("Sales")),
+        "customer_traffic": _filled("Customers", "double", 0),
+        "has_promotion": _filled("Promo", "int", 0),
+        "is_open": _filled("Open", "int", 1),
+        "state_holiday": text.state_holiday_code(F.col("StateHoliday")),
+        "school_holiday": school,
+        "is_holiday": text.holiday_flag(F.col("StateHoliday"), school),
+    }
+
+
+def store_fields() -> dict[str, Column]:
+    """Prepared fields that come from the store table."""
+    return {
+        "store_type": _filled("StoreType", "string", "unknown"),
+        "assortment": _filled("Assortment", "string", "unknown"),
+        "competition_distance": _filled("CompetitionDistance", "double", 0),
+        "promo2": _filled("Promo2", "int", 0),
+        "promo_interval": _filled("PromoInterval", "string", "none"),
+    }
+
+
 def prepare_sales(joined: DataFrame) -> DataFrame:
     """Snake-case names, fixed types and default fills. Order is left to the consumers."""
-    c = F.col
-
-    def filled(name: str, kind: str, default: object) -> Column:
-        return F.coalesce(c(name).cast(kind), F.lit(default).cast(kind))
-
-    school = filled("SchoolHoliday", "int", 0)
-    return joined.select(
-        F.to_date("Date").alias("date"),
-        text.store_key(c("Store")).alias("store_id"),
-        text.number(c("Sales")).alias("sales"),
-        filled("Customers", "double", 0).alias("customer_traffic"),
-        filled("Promo", "int", 0).alias("has_promotion"),
-        filled("Open", "int", 1).alias("is_open"),
-        text.state_holiday_code(c("StateHoliday")).alias("state_holiday"),
-        school.alias("school_holiday"),
-        text.holiday_flag(c("StateHoliday"), school).alias("is_holiday"),
-        filled("StoreType", "string", "unknown").alias("store_type"),
-        filled("Assortment", "string", "unknown").alias("assortment"),
-        filled("CompetitionDistance", "double", 0).alias("competition_distance"),
-        filled("Promo2", "int", 0).alias("promo2"),
-        filled("PromoInterval", "string", "none").alias("promo_interval"),
-    )
+    return joined.select(*[c.alias(name) for name, c in {**sales_fields(), **store_fields()}.items()])
 
 
 def trading_rows() -> Column:

@@ -16,7 +16,7 @@ from shelfspark.operators import clean
 from shelfspark.operators.ranking import grouped_rank
 
 DEFAULTS = FeatureConfig()
-BLOCK_ROWS = 1_000_000
+BLOCK_ROWS = 20_000
 
 
 def date_features(df: DataFrame, date_col: str = "date", cfg: FeatureConfig = DEFAULTS) -> DataFrame:
@@ -43,6 +43,12 @@ def interaction_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def _known(target: str) -> Column:
+    """The target as a number; NaN counts as missing."""
+    value = F.col(target).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _history_columns(target: str, window, cfg: FeatureConfig, rolling: bool, lags: bool) -> dict[str, Column]:
     """Window columns over one (partition, order): a single sort serves all of them."""
     out: dict[str, Column] = {}
@@ -52,35 +58,41 @@ def _history_columns(target: str, window, cfg: FeatureConfig, rolling: bool, lag
         for n in cfg.windows:
             frame = window.rowsBetween(-n, -1)
             if "mean" in cfg.stats:
-                out[f"{target}_rolling_{n}_mean"] = F.avg(target).over(frame)
+                out[f"{target}_rolling_{n}_mean"] = F.avg(_known(target)).over(frame)
             if "std" in cfg.stats:
-                out[f"{target}_rolling_{n}_std"] = F.stddev_samp(target).over(frame)
+                out[f"{target}_rolling_{n}_std"] = F.stddev_samp(_known(target)).over(frame)
+            out[f"_known_{n}"] = F.count(_known(target)).over(frame)
         if set(cfg.stats) & {"min", "max", "median"}:
-            # Wrapped in a struct, so that nulls keep their place.
+            # Missing values keep their place as NaN, which sorts last.
             widest = window.rowsBetween(-max(cfg.windows), -1)
-            out["_recent"] = F.collect_list(F.struct(F.col(target).cast("double").alias("v"))).over(widest)
+            out["_recent"] = F.collect_list(F.coalesce(_known(target), F.lit(float("nan")))).over(widest)
     return out
 
 
+def _sorted_windows(cfg: FeatureConfig) -> dict[str, Column]:
+    """The values of each window in order. A step of its own: each is used several times."""
+    recent = F.col("_recent")
+    return {
+        f"_sorted_{n}": F.sort_array(
+            F.slice(recent, F.greatest(F.lit(1), F.size(recent) - (n - 1)), F.lit(n))
+        )
+        for n in cfg.windows
+    }
+
+
 def _order_statistics(target: str, cfg: FeatureConfig) -> dict[str, Column]:
-    """Min, max and median of each window, from one sorted slice of the recent values."""
+    """Min, max and median of each window, read from its sorted values."""
     out: dict[str, Column] = {}
-    recent = F.col("_recent.v")
     for n in cfg.windows:
-        start = F.greatest(F.lit(1), F.size(recent) - (n - 1))
-        values = F.sort_array(F.array_compact(F.slice(recent, start, F.lit(n))))
-        size = F.size(values)
-
-        def at(i: Column, values: Column = values) -> Column:
-            return F.get(values, i.cast("int"))
-
+        values, known = F.col(f"_sorted_{n}"), F.col(f"_known_{n}").cast("int")
         if "min" in cfg.stats:
-            out[f"{target}_rolling_{n}_min"] = at(F.lit(0))
+            out[f"{target}_rolling_{n}_min"] = F.when(known > 0, F.get(values, F.lit(0)))
         if "max" in cfg.stats:
-            out[f"{target}_rolling_{n}_max"] = at(size - 1)
+            out[f"{target}_rolling_{n}_max"] = F.when(known > 0, F.get(values, known - 1))
         if "median" in cfg.stats:
-            middle = (at(F.floor((size - 1) / 2)) + at(F.floor(size / 2))) / 2
-            out[f"{target}_rolling_{n}_median"] = F.when(size > 0, middle)
+            low, high = F.shiftright(known - 1, 1), F.shiftright(known, 1)
+            middle = (F.get(values, low) + F.get(values, high)) / 2
+            out[f"{target}_rolling_{n}_median"] = F.when(known > 0, middle)
     return out
 
 
@@ -117,7 +129,7 @@ def history_features(
         window = W.partitionBy("_block").orderBy("_rank")
     out = source.withColumns(_history_columns(target, window, cfg, rolling, lags))
     if "_recent" in out.columns:
-        out = out.withColumns(_order_statistics(target, cfg))
+        out = out.withColumns(_sorted_windows(cfg)).withColumns(_order_statistics(target, cfg))
     if not groups:
         out = out.where(F.col("_own"))
     return out.select(*df.columns, *names)

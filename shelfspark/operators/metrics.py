@@ -59,7 +59,7 @@ def iqr_bounds(quartiles: DataFrame) -> DataFrame:
 
 def outlier_report(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """IQR outliers per group: count, share, bounds and extremes."""
-    bounds = sized(iqr_bounds(exact_quantiles(df, groups, value, QUARTILES)))
+    bounds = sized(iqr_bounds(exact_quantiles(df, groups, [value], QUARTILES).drop("column")))
     v = F.col(value)
     outside = (v < F.col("lower_bound")) | (v > F.col("upper_bound"))
     return df.join(bounds, [*groups]).groupBy(*groups, "lower_bound", "upper_bound").agg(

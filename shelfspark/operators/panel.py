@@ -42,36 +42,22 @@ def store_day_panel(sales: DataFrame, stores: DataFrame, include_closed_zero_sal
 
     Gives the rows of ``aggregate_store_days(prepare_sales(join_stores(...)))`` but joins the
     store attributes after the aggregation: they are constant within a store, so the shuffle
-    carries numbers only and the join sees store-days instead of raw rows. Each store must
-    occur once in ``stores``.
+    carries few and narrow columns and the join sees store-days instead of raw rows. The store
+    number stands for its key until then. Each store must occur once in ``stores``.
     """
-    prepared = clean.prepare_sales(
-        sales.select(
-            "*",
-            *[
-                F.lit(None).cast("string").alias(c)
-                for c in ("StoreType", "Assortment", "CompetitionDistance", "Promo2", "PromoInterval")
-            ],
-        )
-    )
-    facts = clean.select_rows(prepared, include_closed_zero_sales).select(
-        "date", "store_id", *SUMMED, *MAXED, "state_holiday"
+    fields = {**clean.sales_fields(), "store_id": F.col("Store").cast("int")}
+    rows = clean.select_rows(
+        sales.select(*[c.alias(name) for name, c in fields.items()]), include_closed_zero_sales
     )
     order = [*SUMMED, "has_promotion", "is_open", "state_holiday", "school_holiday"]
-    days = aggregate_store_days(facts, order)
-    attributes = clean.prepare_sales(
-        stores.select(
-            "*",
-            F.lit(None).cast("date").alias("Date"),
-            *[
-                F.lit(None).cast("string").alias(c)
-                for c in ("Sales", "Customers", "Promo", "Open", "StateHoliday", "SchoolHoliday")
-            ],
-        )
-    ).select("store_id", "competition_distance", "promo2", "store_type", "assortment", "promo_interval")
-    fills = {"competition_distance": 0.0, "promo2": 0, "store_type": "unknown", "assortment": "unknown", "promo_interval": "none"}
-    return days.join(attributes, "store_id", "left").fillna(fills).select(
-        *GRAIN, *SUMMED, *MAXED, *FIRST
+    days = aggregate_store_days(rows, order).withColumnRenamed("store_id", "Store")
+    attributes = clean.store_fields()
+    return clean.join_stores(days, stores).select(
+        "date",
+        text.store_key(F.col("Store")).alias("store_id"),
+        *SUMMED,
+        *MAXED,
+        *[attributes[c].alias(c) if c in attributes else F.col(c) for c in FIRST],
     )
 
 

@@ -286,24 +286,36 @@ def outlier_counts(rows: DataFrame, columns: Sequence[str], method: str = "iqr",
     """(keys, column, outliers) over finite values.
 
     ``iqr``: outside 1.5 spreads around the quartiles, none without spread. ``zscore``: more than
-    three sample deviations from the mean.
+    three sample deviations from the mean. All columns are counted in one pass per step.
     """
-    long = unpivot_numbers(rows, keys, columns).withColumn("value", finite(F.col("value")))
-    long = long.where(F.col("value").isNotNull())
-    groups = [*keys, "column"]
+    numbers = rows.select(*keys, *[finite(F.col(c)).alias(c) for c in columns])
     if method == "iqr":
-        limits = iqr_bounds(exact_quantiles(long, groups, "value", QUARTILES))
-        outside = (F.col("q3") != F.col("q1")) & (
-            (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+        quartiles = iqr_bounds(exact_quantiles(numbers, keys, columns, QUARTILES))
+        spread = F.col("q3") != F.col("q1")
+        limits = quartiles.select(
+            *keys, "column", F.struct(F.when(spread, F.col("lower_bound")).alias("low"), F.when(spread, F.col("upper_bound")).alias("high")).alias("_limits")
         )
     elif method == "zscore":
-        limits = long.groupBy(*groups).agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-        outside = F.coalesce(
-            F.abs(F.try_divide(F.col("value") - F.col("mean"), F.col("std"))) > 3, F.lit(False)
+        moments = unpivot_numbers(numbers, keys, columns).groupBy(*keys, "column").agg(
+            F.avg("value").alias("_mean"), F.stddev_samp("value").alias("_std")
         )
+        reach = 3 * F.when(F.col("_std") > 0, F.col("_std"))
+        limits = moments.select(*keys, "column", F.struct((F.col("_mean") - reach).alias("low"), (F.col("_mean") + reach).alias("high")).alias("_limits"))
     else:
         raise ValueError(f"Unknown outlier method {method!r}")
-    return long.join(sized(limits), groups).groupBy(*groups).agg(F.count_if(outside).alias("outliers"))
+    # One row per key: the limits of its columns.
+    anchor = [*keys] or [F.lit(0).alias("_all")]
+    per_key = limits.groupBy(*anchor).agg(F.map_from_entries(F.collect_list(F.struct("column", "_limits"))).alias("_by_column"))
+    names = [*keys] or ["_all"]
+    joined = numbers.select(*anchor, *columns).join(sized(per_key), names)
+
+    def outside(c: str) -> Column:
+        limit = F.col("_by_column")[c]
+        return (F.col(c) < limit["low"]) | (F.col(c) > limit["high"])
+
+    counts = joined.groupBy(*names).agg(*[F.when(F.count(c) > 0, F.count_if(outside(c))).alias(c) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("outliers")) for c in columns])
+    return counts.select(*keys, F.inline(pairs)).where(F.col("outliers").isNotNull())
 
 
 def outlier_issues(checked: Checked, rows_per_file: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,72 +16,91 @@ ACCURACY = 10_000
 def exact_quantiles(
     df: DataFrame,
     groups: Sequence[str],
-    value: str,
+    columns: Sequence[str],
     probabilities: Mapping[str, float],
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """One row per group: ``n`` (non-null values) and one interpolated quantile per name.
+    """(groups, column, n, one quantile per name) of each numeric column, nulls left out.
 
     The built-in ``percentile`` merges all distinct values of a group in one task. This works in
     two passes instead. First a mergeable sketch brackets each wanted rank to about 2/accuracy of
-    the rows on either side. Then the rows are counted: those below and above a bracket as one
-    number each (with the nearest value), those inside by distinct value. Only bracketed values
-    are ever sorted, and the counts make the result exact, interpolated linearly between ranks.
+    the rows on either side. Then every value is either inside a bracket, and is counted by
+    value, or in a gap between brackets, and only adds to the gap's count, minimum and maximum.
+    Running counts over these few rows give the exact ranks; a wanted rank lies inside a bracket
+    or on the edge of a gap. Quantiles are interpolated linearly between ranks.
     """
-    names = list(probabilities)
     margin = 2.0 / accuracy
-    marks = []
+    marks: list[float] = []
     for p in probabilities.values():
         marks += [max(0.0, p - margin), min(1.0, p + margin)]
-    keys = [*groups] if groups else [F.lit(0).alias("_all")]
     group_names = [*groups] if groups else ["_all"]
-    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    brackets = rows.groupBy(*group_names).agg(
-        F.count("*").alias("n"), F.percentile_approx("_v", marks, accuracy).alias("_marks")
+    source = df if groups else df.withColumn("_all", F.lit(0))
+    rows = source.select(*group_names, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
+    brackets = sized(
+        rows.groupBy(*group_names).agg(
+            *[F.percentile_approx(f"_v{i}", marks, accuracy).alias(f"_m{i}") for i in range(len(columns))]
+        )
     )
-    brackets = sized(brackets)
-    targets = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_q"),
-                F.col("_marks")[2 * i].alias("_low"),
-                F.col("_marks")[2 * i + 1].alias("_high"),
-                (F.lit(float(p)) * (F.col("n") - 1)).alias("_rank"),
-            )
-            for i, p in enumerate(probabilities.values())
-        ]
+    left = rows.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_names)})
+    same = [left[f"_g{i}"].eqNullSafe(brackets[g]) for i, g in enumerate(group_names)]
+    placed = left.join(brackets, same).select(
+        *group_names,
+        F.inline(
+            F.array(*[_placed(i, c, len(probabilities)) for i, c in enumerate(columns)])
+        ),
     )
-    left = rows.select(*[F.col(g).alias(f"_l{i}") for i, g in enumerate(group_names)], "_v")
-    same = [
-        left[f"_l{i}"].eqNullSafe(brackets[g]) for i, g in enumerate(group_names)
-    ]
-    placed = left.join(brackets.select(*group_names, "n", targets.alias("_targets")), same)
-    placed = placed.select(*group_names, "n", "_v", F.inline("_targets"))
-    side = F.when(F.col("_v") < F.col("_low"), -1).when(F.col("_v") > F.col("_high"), 1).otherwise(0)
     counted = (
-        placed.select(*group_names, "n", "_q", "_rank", "_v", side.alias("_side"))
-        .withColumn("_key", F.when(F.col("_side") == 0, F.col("_v")))
-        .groupBy(*group_names, "n", "_q", "_rank", "_side", "_key")
-        .agg(F.count("*").alias("_rows"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        placed.where(F.col("_value").isNotNull())
+        .withColumn("_key", F.when(F.col("_inside"), F.col("_value")))
+        .groupBy(*group_names, "column", "_gap", "_inside", "_key")
+        .agg(F.count("*").alias("_rows"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
+    )
+    within = W.partitionBy(*group_names, "column")
+    through = F.sum("_rows").over(within.orderBy("_least").rowsBetween(W.unboundedPreceding, 0))
+    ranked = counted.select(
+        *group_names,
+        "column",
+        "_least",
+        "_most",
+        through.alias("_through"),
+        (through - F.col("_rows")).alias("_from"),
+        F.sum("_rows").over(within).alias("n"),
     )
-    ordered = W.partitionBy(*group_names, "_q").orderBy("_side", "_key")
-    through = F.sum("_rows").over(ordered.rowsBetween(W.unboundedPreceding, 0))
-    ranked = counted.withColumn("_through", through).withColumn("_from", F.col("_through") - F.col("_rows"))
 
-    def at(rank):
-        inside = (F.col("_from") <= rank) & (rank < F.col("_through"))
-        found = F.when(F.col("_side") < 0, F.col("_most")).otherwise(F.col("_least"))
-        return F.max(F.when(inside, found))
+    def at(rank: Column) -> Column:
+        found = F.when(rank == F.col("_from"), F.col("_least")).when(
+            (rank > F.col("_from")) & (rank < F.col("_through")), F.col("_most")
+        )
+        return F.max(found)
 
-    lower, upper = F.floor("_rank"), F.ceil("_rank")
-    per_target = ranked.groupBy(*group_names, "n", "_q").agg(
-        at(lower).alias("_a"), at(upper).alias("_b"), F.max(F.col("_rank") - lower).alias("_f")
-    )
-    quantile = F.col("_a") + F.col("_f") * (F.col("_b") - F.col("_a"))
-    result = per_target.groupBy(*group_names, "n").agg(
-        *[F.max(F.when(F.col("_q") == i, quantile)).alias(name) for i, name in enumerate(names)]
+    parts: list[Column] = []
+    for i, p in enumerate(probabilities.values()):
+        rank = F.lit(float(p)) * (F.col("n") - 1)
+        parts += [at(F.floor(rank)).alias(f"_a{i}"), at(F.ceil(rank)).alias(f"_b{i}")]
+    result = ranked.groupBy(*group_names, "column", "n").agg(*parts)
+    out: list[Column] = []
+    for i, (name, p) in enumerate(probabilities.items()):
+        rank = F.lit(float(p)) * (F.col("n") - 1)
+        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        out.append((a + (rank - F.floor(rank)) * (b - a)).alias(name))
+    return result.select(*groups, "column", "n", *out)
+
+
+def _placed(i: int, column: str, brackets: int) -> Column:
+    """Where a value lies: inside a bracket, or in the gap after so many brackets."""
+    value, marks = F.col(f"_v{i}"), F.col(f"_m{i}")
+    inside = F.lit(False)
+    gap = F.lit(0)
+    for q in range(brackets):
+        low, high = marks[2 * q], marks[2 * q + 1]
+        inside = inside | value.between(low, high)
+        gap = gap + (value > high).cast("int")
+    return F.struct(
+        F.lit(column).alias("column"),
+        value.alias("_value"),
+        inside.alias("_inside"),
+        F.when(~inside, gap).alias("_gap"),
     )
-    return result if groups else result.drop("_all")
 
 
 def unpivot_numbers(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

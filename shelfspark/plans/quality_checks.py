@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shelfspark import config
 from shelfspark.config import QualityRules
 from shelfspark.operators import quality
-from shelfspark.operators.quantiles import exact_quantiles, unpivot_numbers
+from shelfspark.operators.quantiles import exact_quantiles
 from shelfspark.plans import tables as t
 from shelfspark.plans.catalog import query, rounded
 from shelfspark.sources import star_tables
@@ -160,8 +160,8 @@ def zscore_outliers(spark, folder):
     quantile_cont(v, 0.75) AS q3 FROM long GROUP BY c""",
 )
 def column_quartiles(spark, folder):
-    long = unpivot_numbers(checked(spark, folder).rows, [], NUMBERS).withColumn("value", quality.finite(F.col("value")))
-    return exact_quantiles(long, ["column"], "value", {"q1": 0.25, "q2": 0.5, "q3": 0.75})
+    finite = checked(spark, folder).rows.select(*[quality.finite(F.col(c)).alias(c) for c in NUMBERS])
+    return exact_quantiles(finite, [], NUMBERS, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
 
 
 @query("O3.12", f"{BASE} {BINARY}")
@@ -223,12 +223,12 @@ def empty_input(spark, folder):
         f"SELECT '{c}' AS c, count(*) - count({c}) AS nulls, count(*) AS n, count(DISTINCT {c}) AS uniq FROM typed"
         for c in ("date", "store_id", *NUMBERS)
     )
-    + """) SELECT base.c AS "column", nulls AS null_count, round(nulls * 100.0 / n, 4) AS null_percentage, uniq AS unique_values,
-    round(mean, 4) AS mean, round(std, 4) AS std, min, max, outliers
+    + """) SELECT base.c AS "column", nulls AS null_count, round(nulls * 100.0 / n, 6) AS null_percentage, uniq AS unique_values,
+    round(mean, 6) AS mean, round(std, 6) AS std, min, max, outliers
     FROM base LEFT JOIN stats ON base.c = stats.c LEFT JOIN out ON base.c = out.c""",
 )
 def column_profile(spark, folder):
-    return rounded(quality.column_profile(checked(spark, folder)))
+    return rounded(quality.column_profile(checked(spark, folder)), 6)
 
 
 @query(

@@ -15,6 +15,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # HotSpot does not compile methods above 8000 bytes. Wide feature rows reach that in one
+        # generated method; past the limit their expressions are generated as small methods.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )

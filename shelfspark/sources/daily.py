@@ -17,8 +17,11 @@ def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str
     """Write ``folder/kind/year=/month=/day=``; month and day have two digits.
 
     The rows are range-partitioned by date and a hash of the row, so that neighbouring days share
-    a task while one very large day is spread over several tasks (and files).
+    a task while one very large day is spread over several tasks (and files). The number of
+    tasks is given, as small tables would otherwise be written by one task, day after day.
     """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     path = f"{folder.rstrip('/')}/{kind}"
     day = F.to_date(date_col)
     spread = F.xxhash64(*df.columns)
@@ -26,7 +29,7 @@ def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str
         df.withColumn("year", F.year(day).cast("string"))
         .withColumn("month", F.lpad(F.month(day).cast("string"), 2, "0"))
         .withColumn("day", F.lpad(F.dayofmonth(day).cast("string"), 2, "0"))
-        .repartitionByRange(*PARTS, spread)
+        .repartitionByRange(tasks, *PARTS, spread)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*PARTS)
