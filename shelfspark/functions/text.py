@@ -39,9 +39,10 @@ def state_holiday_indicator(c: Column) -> Column:
     return (~normalised(c).isin(*NO_HOLIDAY)).cast("int")
 
 
-def binary_indicator(c: Column) -> Column:
-    """1 for a number other than zero or a yes word, else 0."""
-    return ((F.coalesce(number(c), F.lit(0.0)) != 0) | normalised(c).isin(*YES_WORDS)).cast("int")
+def binary_indicator(c: Column, is_number: bool = False) -> Column:
+    """1 for a number other than zero or a yes word, else 0. Numbers need no text check."""
+    nonzero = F.coalesce(number(c), F.lit(0.0)) != 0
+    return (nonzero if is_number else nonzero | normalised(c).isin(*YES_WORDS)).cast("int")
 
 
 def holiday_flag(state: Column, school: Column) -> Column:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfspark import config
 from shelfspark.functions import text
@@ -70,21 +71,27 @@ def build_daily_totals(df: DataFrame, date_col: str = "date", target: str = "sal
     absent = config.missing_columns(df.columns, (date_col, target))
     if absent:
         raise ValueError(f"Missing required columns for daily-total data: {absent}")
-    present = set(df.columns)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+
+    def signal(name: str, default: int) -> Column:
+        if name not in kinds:
+            return F.lit(default)
+        return text.binary_indicator(F.col(name), isinstance(kinds[name], T.NumericType))
 
-    def signal(name: str, indicator, default: int) -> Column:
-        return indicator(F.col(name)) if name in present else F.lit(default)
+    has_store, has_state = "store_id" in kinds, "state_holiday" in kinds
+    store = F.coalesce(F.col("store_id").cast("string"), F.lit("nan")) if has_store else F.lit("")
+    state = text.state_holiday_indicator(F.col("state_holiday")) if has_state else F.lit(0)
 
     rows = clean.drop_unusable(df, target, date_col).select(
         F.to_date(date_col).alias("ds"),
-        (F.coalesce(F.col("store_id").cast("string"), F.lit("nan")) if "store_id" in present else F.lit(None).cast("string")).alias("store"),
+        store.alias("store"),
         F.col(target).alias("y"),
-        signal("has_promotion", text.binary_indicator, 0).alias("promo"),
-        signal("is_open", text.binary_indicator, 1).alias("open"),
-        signal("school_holiday", text.binary_indicator, 0).alias("school"),
-        signal("state_holiday", text.state_holiday_indicator, 0).alias("state"),
+        signal("has_promotion", 0).alias("promo"),
+        signal("is_open", 1).alias("open"),
+        signal("school_holiday", 0).alias("school"),
+        state.alias("state"),
     )
-    if "store_id" in present:
+    if has_store:
         rows = rows.groupBy("ds", "store").agg(
             F.sum("y").alias("y"),
             *[F.max(c).alias(c) for c in ("promo", "open", "school", "state")],
