@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.operators import clean, compare
+from shelfspark.operators import clean, compare, quality
 from shelfspark.operators.panel import aggregate_store_days
 from shelfspark.plans import evaluation as ev
 from shelfspark.plans import tables as t
@@ -109,6 +109,23 @@ def diagnostics_files(spark, folder):
     return spark.read.schema(rows.schema).json(paths["json"])
 
 
+@query(
+    "O3.26",
+    """SELECT 'error' AS severity, 'file_read' AS "check", 'Could not read parquet file' AS message, CAST(3 AS BIGINT) AS files,
+    count(*) AS readable_rows FROM events""",
+)
+def unreadable_files(spark, folder):
+    """Events as parquet files, and once more as three text files that the scan has to skip."""
+    events = star_tables.event_days(spark, folder)
+    path = scratch_path(spark, "mixed")
+    events.write.parquet(path)
+    events.select(F.to_json(F.struct("*")).alias("value")).repartition(3).write.mode("append").text(path)
+    read = daily.with_file(spark.read.schema(events.schema).option("ignoreCorruptFiles", "true").parquet(path))
+    issues = quality.unreadable_files(daily.list_files(spark, path, "part-*"), read)
+    rows = read.agg(F.count("*").alias("n")).scalar()
+    return issues.groupBy("severity", "check", "message").agg(F.count("*").alias("files")).select("*", rows.alias("readable_rows"))
+
+
 @query("O1.9", ev.REPORT_SQL)
 def performance_report_file(spark, folder):
     rows = ev.performance_rows(spark, folder)

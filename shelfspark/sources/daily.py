@@ -68,6 +68,12 @@ def with_file(df: DataFrame, name: str = "file_path") -> DataFrame:
     return df.withColumn(name, F.col("_metadata.file_path"))
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file_path) of every file below a folder; names only, no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return found.load(path).select(F.col("_metadata.file_path").alias("file_path"))
+
+
 def parse_limit(raw: Any, name: str) -> int:
     """Whole number; below zero counts as 0, which means no limit."""
     try:
