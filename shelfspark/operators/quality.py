@@ -212,69 +212,87 @@ def binary_issues(checked: Checked) -> DataFrame:
     )
 
 
-def file_day_counts(checked: Checked) -> DataFrame:
+def key_counts(checked: Checked) -> DataFrame:
+    """(file_path, key columns and date, rows): the basis of all checks on keys and days.
+
+    Reports that run several of those checks persist it once and pass it to each.
+    """
+    wanted = [*checked.rules.key, checked.rules.date_column]
+    columns = [c for c in dict.fromkeys(wanted) if c in checked.columns]
+    return checked.rows.groupBy(FILE, *columns).agg(F.count("*").alias("rows"))
+
+
+def _keys(checked: Checked, keys: DataFrame | None) -> DataFrame:
+    return key_counts(checked) if keys is None else keys
+
+
+def _has_key(checked: Checked) -> bool:
+    return set(checked.rules.key) <= set(checked.columns)
+
+
+def rows_per_file(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
+    return _keys(checked, keys).groupBy(FILE).agg(F.sum("rows").alias("rows"))
+
+
+def file_day_counts(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
     """(file_path, days): distinct days per file."""
     day = checked.rules.date_column
-    pairs = checked.rows.where(F.col(day).isNotNull()).groupBy(FILE, day).agg(F.lit(1).alias("one"))
+    pairs = _keys(checked, keys).where(F.col(day).isNotNull()).select(FILE, day).distinct()
     return pairs.groupBy(FILE).agg(F.count("*").alias("days"))
 
 
-def many_days_issues(checked: Checked) -> DataFrame:
+def many_days_issues(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
     """Files that hold more than one day."""
-    many = file_day_counts(checked).where("days > 1")
+    many = file_day_counts(checked, keys).where("days > 1")
     text = F.concat(F.lit("Sales parquet files should contain one sales date; found "), F.col("days").cast("string"))
     return many.select(FILE, F.inline(F.array(_issue("error", "file_partition", checked.rules.date_column, F.col("days"), text))))
 
 
-def duplicate_counts(checked: Checked, columns: Sequence[str]) -> DataFrame:
-    """(file_path, count): rows beyond the first of each combination; nulls count as equal."""
-    groups = checked.rows.groupBy(FILE, *columns).count().where("count > 1")
-    return groups.groupBy(FILE).agg(F.sum(F.col("count") - 1).alias("count"))
-
-
 def duplicate_row_issues(checked: Checked) -> DataFrame:
+    """Rows beyond the first of each exact copy; nulls count as equal."""
+    copies = checked.rows.groupBy(FILE, *checked.columns).count().where("count > 1")
+    extra = copies.groupBy(FILE).agg(F.sum(F.col("count") - 1).alias("count"))
     text = F.concat(F.lit("Found "), F.col("count").cast("string"), F.lit(" exact duplicate row(s)"))
-    return duplicate_counts(checked, checked.columns).select(
-        FILE, F.inline(F.array(_issue("warning", "duplicate_rows", None, F.col("count"), text)))
-    )
+    return extra.select(FILE, F.inline(F.array(_issue("warning", "duplicate_rows", None, F.col("count"), text))))
 
 
-def duplicate_key_issues(checked: Checked) -> DataFrame:
-    """Repeated keys inside one file."""
-    key = list(checked.rules.key)
-    if not set(key) <= set(checked.columns):
+def duplicate_key_issues(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
+    """Repeated keys inside one file; null keys count as equal."""
+    if not _has_key(checked):
         return _no_issues(checked.rows)
+    key = list(checked.rules.key)
+    per_key = _keys(checked, keys).groupBy(FILE, *key).agg(F.sum("rows").alias("rows")).where("rows > 1")
+    extra = per_key.groupBy(FILE).agg(F.sum(F.col("rows") - 1).alias("count"))
     text = F.concat(F.lit("Found "), F.col("count").cast("string"), F.lit(f" duplicate row(s) at grain {key}"))
-    return duplicate_counts(checked, key).select(
-        FILE, F.inline(F.array(_issue("error", "unique_key", None, F.col("count"), text)))
-    )
+    return extra.select(FILE, F.inline(F.array(_issue("error", "unique_key", None, F.col("count"), text))))
 
 
-def cross_file_key_counts(checked: Checked) -> DataFrame:
+def cross_file_key_counts(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
     """(file_path, count): rows whose key is already in an earlier file, by file name.
 
-    Keys are compared exactly. They are counted per file first, so the window sees each key at
-    most once per file.
+    Keys are compared exactly; rows without a full key are left out. Keys are counted per file
+    first, so the window sees each key at most once per file.
     """
     key = list(checked.rules.key)
-    per_file = checked.rows.dropna(subset=key).groupBy(*key, FILE).count()
+    per_file = _keys(checked, keys).dropna(subset=key).groupBy(*key, FILE).agg(F.sum("rows").alias("rows"))
     earliest = F.min(FILE).over(W.partitionBy(*key))
     return (
         per_file.withColumn("_earliest", earliest)
         .where(F.col("_earliest") < F.col(FILE))
         .groupBy(FILE)
-        .agg(F.sum("count").alias("count"))
+        .agg(F.sum("rows").alias("count"))
     )
 
 
-def cross_file_key_issues(checked: Checked) -> DataFrame:
-    key = list(checked.rules.key)
-    if not set(key) <= set(checked.columns):
+def cross_file_key_issues(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
+    if not _has_key(checked):
         return _no_issues(checked.rows)
     text = F.concat(
-        F.lit("Found "), F.col("count").cast("string"), F.lit(f" row(s) at grain {key} already present in earlier files")
+        F.lit("Found "),
+        F.col("count").cast("string"),
+        F.lit(f" row(s) at grain {list(checked.rules.key)} already present in earlier files"),
     )
-    return cross_file_key_counts(checked).select(
+    return cross_file_key_counts(checked, keys).select(
         FILE, F.inline(F.array(_issue("error", "unique_key", None, F.col("count"), text)))
     )
 
@@ -355,9 +373,10 @@ def date_range(df: DataFrame, date_col: str = "date") -> DataFrame:
     )
 
 
-def batch_gap_issue(checked: Checked) -> DataFrame:
+def batch_gap_issue(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
     """One warning for all missing days, with the first ten as a sample."""
-    gaps = missing_dates(checked.rows.select(F.col(checked.rules.date_column).alias("date")))
+    day = checked.rules.date_column
+    gaps = missing_dates(_keys(checked, keys).select(F.col(day).alias("date")))
     place = F.row_number().over(W.partitionBy(F.lit(0)).orderBy("date"))
     sample = F.array_sort(F.collect_list(F.when(F.col("_place") <= SAMPLE_DATES, F.col("date").cast("string"))))
     summary = gaps.withColumn("_place", place).agg(F.count("*").alias("count"), sample.alias("_sample")).where("count > 0")
@@ -502,34 +521,32 @@ def _no_issues(df: DataFrame) -> DataFrame:
     )
 
 
-def rows_per_file(checked: Checked) -> DataFrame:
-    return checked.rows.groupBy(FILE).agg(F.count("*").alias("rows"))
-
-
-def file_issues(checked: Checked, today: Column | None = None) -> DataFrame:
+def file_issues(checked: Checked, today: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
     """All issues that belong to a file."""
-    rows = sized(rows_per_file(checked))
+    keys = key_counts(checked).persist() if keys is None else keys
+    rows = sized(rows_per_file(checked, keys))
     parts = [
         missing_column_issues(checked, rows),
         count_issues(checked, today),
         binary_issues(checked),
         duplicate_row_issues(checked),
-        duplicate_key_issues(checked),
+        duplicate_key_issues(checked, keys),
         outlier_issues(checked, rows),
     ]
     if checked.rules.date_column in checked.columns:
-        parts.append(many_days_issues(checked))
+        parts.append(many_days_issues(checked, keys))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out.select(*ISSUE_FIELDS)
 
 
-def batch_issues(checked: Checked, today: Column | None = None) -> DataFrame:
+def batch_issues(checked: Checked, today: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
     """Issues of every file, keys repeated across files, and days missing from the batch."""
-    out = file_issues(checked, today).unionByName(cross_file_key_issues(checked).select(*ISSUE_FIELDS))
+    keys = key_counts(checked).persist() if keys is None else keys
+    out = file_issues(checked, today, keys).unionByName(cross_file_key_issues(checked, keys).select(*ISSUE_FIELDS))
     if checked.rules.date_column in checked.columns:
-        out = out.unionByName(batch_gap_issue(checked).select(*ISSUE_FIELDS))
+        out = out.unionByName(batch_gap_issue(checked, keys).select(*ISSUE_FIELDS))
     return out
 
 
@@ -645,8 +662,9 @@ def frame_report(df: DataFrame, rules: QualityRules = RULES, today: Column | Non
 def validate_batch(df: DataFrame, rules: QualityRules = RULES, today: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(issues, file summaries, one-row summary) of rows that carry their file."""
     checked = check_types(df, rules)
-    issues = batch_issues(checked, today).persist()
-    summaries = file_summaries(issues, rows_per_file(checked))
+    keys = key_counts(checked).persist()
+    issues = batch_issues(checked, today, keys).persist()
+    summaries = file_summaries(issues, rows_per_file(checked, keys))
     return issues, summaries, batch_summary(issues, summaries, limit=rules.max_examples)
 
 

@@ -21,11 +21,11 @@ def grouped_rank(df: DataFrame, groups: Sequence[str], order: Sequence[str], nam
     A window over the group would sort one group in one task. Here the rows are range-sorted by
     (groups, order) over many tasks; the rank is the position within the task plus the number of
     rows of the group in earlier tasks. The sorted rows are checkpointed first, so that both
-    passes see the same positions even if an executor is lost. ``order`` should end with a
-    unique column if ties must always fall the same way.
+    passes see the same positions even if an executor is lost. A hash of the row breaks ties, so
+    that many rows with equal keys are spread too.
     """
     shared_folder(df.sparkSession)
-    keys = [*groups, *order]
+    keys = [*groups, *order, F.xxhash64(*df.columns)]
     located = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
