@@ -18,7 +18,8 @@ def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
 
 
 def _filled(name: str, kind: str, default: object) -> Column:
-    return F.coalesce(F.col(name).cast(kind), F.lit(default).cast(kind))
+    value = text.number(F.col(name)) if kind == "double" else F.col(name).cast(kind)
+    return F.coalesce(value, F.lit(default).cast(kind))
 
 
 def sales_fields() -> dict[str, Column]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shelfspark import config
 from shelfspark.config import TREES_A, TREES_B, DailyModelConfig, TreeConfig
 from shelfspark.functions.stats import error_metrics
-from shelfspark.operators import baselines, compare, encoding, features, forecast, panel, splits
+from shelfspark.operators import baselines, compare, encoding, features, forecast, panel, registry, splits
 from shelfspark.operators.clean import categorical_columns
 from shelfspark.operators.metrics import metric_rows, numeric_columns
 from shelfspark.session import shared_folder
@@ -268,6 +268,19 @@ class TrainedStoreModels:
         )
 
 
+def load_available(folder: str, names: Sequence[str] = STORE_MODELS) -> dict[str, PipelineModel]:
+    """Saved tree models by registered name; what is not there is skipped."""
+    registered = {row[0]: row[2] for row in registry.MODEL_NAMES}
+    found: dict[str, PipelineModel] = {}
+    for name in names:
+        try:
+            found[registered.get(name, name)] = PipelineModel.load(f"{folder}/{name}")
+        except Exception as error:
+            if "does not exist" not in str(error) and "PATH_NOT_FOUND" not in str(error):
+                raise
+    return found
+
+
 def train_store_models(data: StoreData, configs: Sequence[TreeConfig] = (TREES_A, TREES_B), floor: float = 0.2) -> TrainedStoreModels:
     """Both tree models, and ensemble weights from their validation R squared."""
     models = {cfg.name: fit_trees(data, cfg) for cfg in configs}

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shelfspark.operators.joins import sized
 
 ACCURACY = 10_000
+FINEST = 1_000_000
+BRACKETED_ROWS = 5_000_000
 
 
 def exact_quantiles(
@@ -36,11 +38,24 @@ def exact_quantiles(
     group_names = [*groups] if groups else ["_all"]
     source = df if groups else df.withColumn("_all", F.lit(0))
     rows = source.select(*group_names, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
-    brackets = sized(
-        rows.groupBy(*group_names).agg(
-            *[F.percentile_approx(f"_v{i}", marks, accuracy).alias(f"_m{i}") for i in range(len(columns))]
+    values = [f"_v{i}" for i in range(len(columns))]
+
+    def sketch(at: int) -> DataFrame:
+        marks: list[float] = []
+        for p in probabilities.values():
+            marks += [max(0.0, p - 2.0 / at), min(1.0, p + 2.0 / at)]
+        return sized(
+            rows.groupBy(*group_names).agg(
+                F.count("*").alias("_size"),
+                *[F.percentile_approx(v, marks, at).alias(f"_m{i}") for i, v in enumerate(values)],
+            )
         )
-    )
+
+    brackets = sketch(accuracy)
+    largest = brackets.agg(F.max("_size").alias("n")).first()["n"] or 0
+    needed = min(FINEST, 4 * largest // BRACKETED_ROWS)
+    if needed > accuracy:
+        brackets = sketch(needed)
     left = rows.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_names)})
     same = [left[f"_g{i}"].eqNullSafe(brackets[g]) for i, g in enumerate(group_names)]
     placed = left.join(brackets, same).select(

@@ -104,6 +104,8 @@ def test_store_models_end_to_end(spark, tmp_path):
     trained.save(spark, str(tmp_path / "m"))
     loaded = models.TrainedStoreModels.load(spark, str(tmp_path / "m"))
     assert dict(loaded.weights) == dict(trained.weights)
+    available = models.load_available(str(tmp_path / "m"), ["lightgbm", "never_saved"])
+    assert list(available) == ["lightgbm_store_level"]
     out = models.forecast_stores(loaded, history, forecast.future_rows(history, 5), 5)
     rows = out.orderBy("store_id", "date").collect()
     assert len(rows) == 20 and rows[0]["date"] == DAY + dt.timedelta(days=90)

@@ -26,8 +26,9 @@ def skewed(n=3000, seed=1):
 PROBS = {"lo": 0.0, "q1": 0.25, "med": 0.5, "p77": 0.77, "hi": 1.0}
 
 
-@pytest.mark.parametrize("accuracy", [5, 20, 100, 10_000])
-def test_exact_quantiles(spark, accuracy):
+@pytest.mark.parametrize("accuracy, bracketed", [(5, 10**6), (20, 10**6), (100, 10**6), (10_000, 10**6), (20, 50)])
+def test_exact_quantiles(spark, monkeypatch, accuracy, bracketed):
+    monkeypatch.setattr(quantiles, "BRACKETED_ROWS", bracketed)
     rows = skewed()
     df = spark.createDataFrame(rows, "id long, g string, v double").withColumn("w", F.col("v") * 2 + 1)
     out = quantiles.exact_quantiles(df, ["g"], ["v", "w"], PROBS, accuracy=accuracy).toPandas()
