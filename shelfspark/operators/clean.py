@@ -54,6 +54,11 @@ def prepare_sales(joined: DataFrame) -> DataFrame:
     return joined.select(*[c.alias(name) for name, c in {**sales_fields(), **store_fields()}.items()])
 
 
+def prepare_sales_only(sales: DataFrame) -> DataFrame:
+    """The fields of the sales table alone; daily totals need no store attributes and no join."""
+    return sales.select(*[c.alias(name) for name, c in sales_fields().items()])
+
+
 def trading_rows() -> Column:
     """Condition for open stores with sales, on prepared rows."""
     return (F.col("is_open") == 1) & (F.col("sales") > 0)

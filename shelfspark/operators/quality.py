@@ -424,9 +424,13 @@ def column_profile(checked: Checked) -> DataFrame:
     as one set per column.
     """
     columns = list(checked.columns)
-    texts = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("text")) for c in columns]
-    )
+
+    def shown(c: str) -> Column:
+        # Adding zero makes minus zero and zero the same value.
+        value = F.col(c) + F.lit(0.0) if c in checked.numeric else F.col(c)
+        return value.cast("string")
+
+    texts = F.array(*[F.struct(F.lit(c).alias("column"), shown(c).alias("text")) for c in columns])
     pairs = checked.rows.select(F.inline(texts)).groupBy("column", "text").count()
     base = pairs.groupBy("column").agg(
         F.sum(F.when(F.col("text").isNull(), F.col("count")).otherwise(0)).alias("null_count"),
@@ -468,6 +472,30 @@ def prediction_shift(df: DataFrame, train: DataFrame, columns: Sequence[str]) ->
     return both.where(moved).select("column", "train_mean", "train_std", "pred_mean")
 
 
+def schema_issues(checked: Checked) -> DataFrame:
+    """Absent columns and values that do not fit their type."""
+    missing = missing_column_issues(checked, rows_per_file(checked))
+    misfits = count_issues(checked).where(F.col("check") == "schema")
+    return missing.unionByName(misfits).select(*ISSUE_FIELDS)
+
+
+def prediction_data_issues(df: DataFrame, train: DataFrame, rules: QualityRules = RULES) -> DataFrame:
+    """Schema issues of rows to be scored, and columns whose mean left the train range."""
+    checked = check_types(df, rules)
+    known = check_types(train, rules)
+    columns = [c for c in checked.numeric if c in known.numeric]
+    text = F.format_string("Potential distribution shift: mean changed from %.2f to %.2f", "train_mean", "pred_mean")
+    shifts = prediction_shift(checked.rows, known.rows, columns).select(
+        F.lit(None).cast("string").alias(FILE),
+        F.lit("error").alias("severity"),
+        F.lit("distribution_shift").alias("check"),
+        "column",
+        F.lit(None).cast("long").alias("count"),
+        text.alias("message"),
+    )
+    return schema_issues(checked).unionByName(shifts)
+
+
 # --- declarative rules --------------------------------------------------------------------
 
 

@@ -178,7 +178,7 @@ def split_by_rows(spark, folder):
     SELECT p.date, p.store_id, p.sales, s.split FROM prepared p JOIN day_split s ON p.date = s.date""",
 )
 def split_by_dates(spark, folder):
-    return splits.split_by_dates(t.prepared(spark, folder).select("date", "store_id", "sales"))
+    return splits.split_by_dates(t.sales_rows(spark, folder).select("date", "store_id", "sales"))
 
 
 @query(
@@ -189,7 +189,7 @@ def split_by_dates(spark, folder):
 )
 def rows_of_each_split(spark, folder):
     """Semi joins by the days of a split, labelled and put together again."""
-    rows = t.prepared(spark, folder)
+    rows = t.sales_rows(spark, folder)
     days = splits.date_splits(rows)
     parts = [splits.rows_of_split(rows, days, s).withColumn("split", F.lit(s)) for s in splits.SPLITS]
     together = parts[0].unionByName(parts[1]).unionByName(parts[2])

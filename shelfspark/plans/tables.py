@@ -21,12 +21,16 @@ def store_days(spark: SparkSession, folder: str) -> DataFrame:
     return panel.store_day_panel(star_tables.raw_sales(spark, folder), star_tables.raw_stores(spark, folder))
 
 
+def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return clean.prepare_sales_only(star_tables.raw_sales(spark, folder))
+
+
 def daily_totals(spark: SparkSession, folder: str) -> DataFrame:
-    return panel.build_daily_totals(prepared(spark, folder))
+    return panel.build_daily_totals(sales_rows(spark, folder))
 
 
 def labelled_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return models.labelled_daily_totals(prepared(spark, folder))
+    return models.labelled_daily_totals(sales_rows(spark, folder))
 
 
 def store_predictions(spark: SparkSession, folder: str) -> DataFrame:

@@ -163,6 +163,22 @@ def test_prediction_shift(spark):
     assert [r["column"] for r in quality.prediction_shift(now, train, ["a", "b", "c"]).collect()] == ["a"]
 
 
+def test_prediction_data(spark):
+    schema = "date string, store_id string, sales double, customer_traffic double, has_promotion int, is_open int, is_holiday int"
+    train = spark.createDataFrame([("2024-01-01", f"s{i}", 10.0 + i, 5.0 + i, 0, 1, 0) for i in range(5)], schema)
+    good = quality.prediction_data_issues(train, train)
+    assert good.count() == 0
+    far = train.withColumn("sales", F.col("sales") * 100).withColumn("date", F.lit("never")).drop("is_open")
+    got = {(r["check"], r["column"]) for r in quality.prediction_data_issues(far, train).collect()}
+    assert got == {("schema", None), ("schema", "date"), ("distribution_shift", "sales")}
+
+
+def test_distinct_values_ignore_the_sign_of_zero(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,), (1.0,), (None,)], "sales double")
+    row = quality.column_profile(quality.check_types(df)).first()
+    assert (row["unique_values"], row["null_count"], row["null_percentage"]) == (2, 1, 25.0)
+
+
 def test_path_dates(spark):
     paths = ["x/sales_2024-01-05.parquet", "sales/year=2024/month=01/day=07/part-0.parquet", "none"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
