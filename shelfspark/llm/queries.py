@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
+from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_substring_dedup": OP9_SQL,
+}

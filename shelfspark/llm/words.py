@@ -49,6 +49,11 @@ def _power(step: np.uint64, length: int) -> np.ndarray:
     return table[:length]
 
 
+def powers(length: int, back: bool = False) -> np.ndarray:
+    """Powers of an odd constant, or of its inverse, modulo 2**64."""
+    return _power(_BACK if back else _STEP, length)
+
+
 def chunks(column: pa.Array | pa.ChunkedArray, most: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of about ``most`` bytes; a longer text is a run of its own.
 
