@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
+from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
 
