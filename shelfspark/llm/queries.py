@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.isolation import op7_isolation_forest
+from shelfspark.llm.languages import op3_language_id
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op3_language_id": op3_language_id,
     "op5_bpe": op5_bpe,
     "op7_isolation_forest": op7_isolation_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
