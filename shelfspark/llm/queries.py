@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
 from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.isolation import op7_isolation_forest
 from shelfspark.llm.languages import op3_language_id
@@ -9,6 +15,20 @@ from shelfspark.llm.ngram_join import op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def _found(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Lets Python workers on this machine import the package where nothing else names its place."""
+
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+        return build(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_language_id": op3_language_id,
@@ -17,6 +37,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
 }
+QUERIES = {name: _found(build) for name, build in QUERIES.items()}
 
 SQL: dict[str, str] = {
     "op9_substring_dedup": OP9_SQL,

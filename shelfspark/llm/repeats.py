@@ -157,7 +157,7 @@ def _removed(how: Repeats, hashes: np.ndarray, runs: list[dict]) -> np.ndarray:
 def _rewritten(how: Repeats, names: list[str]):
     def run(batches):
         for batch in batches:
-            text = batch.column("__text")
+            text = batch.column("text")
             lists = batch.column("__runs")
             kept, n_words, n_removed, spans = [], [], [], []
             for row in range(batch.num_rows):
@@ -212,12 +212,13 @@ def without_repeats(df: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     mask = F.when(F.col("doc") > F.col("source"), whole).otherwise(F.coalesce("own_mask", F.lit(0)))
     runs = repeated.join(known, ["anchor", "path"]).withColumn("mask", mask).where("mask != 0")
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("start", "edges", "mask", "proof")).alias("__runs"))
-    runs = stored(runs.withColumnRenamed("doc", "__doc"), "runs")
+    runs = stored(runs.withColumnRenamed("doc", "__run_doc"), "runs")
     dropped(repeated, compact, read)
 
     names = [c for c in df.columns if c not in ADDED]
-    keyed = df.select(*names, F.col("doc_id").cast("long").alias("__key"), F.col("text").cast("string").alias("__text"))
-    keyed = keyed.join(runs, keyed["__key"] == runs["__doc"], "left").select(*names, "__text", "__runs")
+    df = df.withColumn("text", F.col("text").cast("string"))
+    keyed = df.select(*names, F.col("doc_id").cast("long").alias("__key"))
+    keyed = keyed.join(runs, keyed["__key"] == runs["__run_doc"], "left").select(*names, "__runs")
     schema = T.StructType([df.schema[n] for n in names] + T.StructType.fromDDL(ADDED_SQL).fields)
     return keyed.mapInArrow(_rewritten(how, names), schema)
 
