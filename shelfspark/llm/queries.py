@@ -14,6 +14,7 @@ from shelfspark.llm.languages import op3_language_id
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
+from shelfspark.llm.vectors import op10_embedding_dedup
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -36,6 +37,7 @@ QUERIES = {
     "op7_isolation_forest": op7_isolation_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}
 
