@@ -13,6 +13,7 @@ from shelfspark.llm.isolation import op7_isolation_forest
 from shelfspark.llm.languages import op3_language_id
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
+from shelfspark.llm.ranking import op4_quality_ranking
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 from shelfspark.llm.vectors import op10_embedding_dedup
 
@@ -33,6 +34,7 @@ def _found(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_language_id": op3_language_id,
+    "op4_quality_ranking": op4_quality_ranking,
     "op5_bpe": op5_bpe,
     "op7_isolation_forest": op7_isolation_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
