@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.isolation import op7_isolation_forest
 from shelfspark.llm.languages import op3_language_id
+from shelfspark.llm.licenses import op2_license_scan
 from shelfspark.llm.ngram_join import op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.ranking import op4_quality_ranking
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 from shelfspark.llm.vectors import op10_embedding_dedup
+from shelfspark.llm.warc import op6_warc_derivatives
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -33,9 +35,11 @@ def _found(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
     "op4_quality_ranking": op4_quality_ranking,
     "op5_bpe": op5_bpe,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_isolation_forest": op7_isolation_forest,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
