@@ -87,6 +87,7 @@ def fitted(df: DataFrame, how: Settings = Settings()) -> TextModel:
 
     The rows with the least hashes of doc_id are taken, as many of each language; only their ids are sent around.
     """
+    df = df.select("doc_id", F.col("text").cast("string").alias("text"), F.col("declared").cast("string").alias("declared"))
     known = df.where(F.col("declared").isin(*how.languages) & F.col("doc_id").isNotNull())
     each = how.train_rows // len(how.languages)
     ids = None
@@ -153,8 +154,8 @@ def _argmax(values: Column, best: Column) -> Column:
 def identified(df: DataFrame, model: TextModel, how: Settings = Settings()) -> DataFrame:
     """``df`` (text, declared, address and others) with language, probability and accepted.
 
-    A row is accepted if its best language reaches ``how.accept`` and its text has letters. Texts without letters, empty
-    and null ones are of language ``und`` with probability 0. Null or unknown declarations and null addresses count as no
+    A row is accepted if its best language reaches ``how.accept`` and its text has a trigram with a letter. Texts without
+    any, empty and null ones are of language ``und`` with probability 0. Null or unknown declarations and null addresses count as no
     evidence. Columns of these three names are replaced; all others stay.
     """
     spark = df.sparkSession
