@@ -24,7 +24,7 @@ def _row(docs: DataFrame, without: tuple[str, ...] = ()):
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that are in no known language: no letters, or no language that reaches half of the probability."""
+    """Rejects documents that are in no known language: no trigram with a letter, or no language that reaches half of the probability."""
     rows = docs.select(_row(docs), "doc_id", "text", F.col("lang").alias("declared"), F.col("source").alias("address"))
     return languages.identified(rows, languages.fitted(rows, LANGUAGE), LANGUAGE).where("accepted").select("__row.*")
 
