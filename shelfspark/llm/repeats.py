@@ -193,7 +193,10 @@ def without_repeats(df: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     rows = df.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     paths = rows.mapInArrow(_paths(how), PATH_SQL)
     anchors = paths.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor")
+    # Written first: the join then reads both sides from plain exchanges, whose hot keys adaptive execution splits.
+    anchors = stored(anchors, "anchors")
     repeated = stored(paths.join(anchors, "anchor", "left_semi"), "paths")
+    dropped(anchors)
 
     compact = repeated.groupBy("anchor", "path", "edges").agg(F.min(F.struct("doc", "start")).alias("source"))
     compact = stored(compact.select("anchor", "path", "edges", "source.doc", "source.start"), "compact")
@@ -208,12 +211,14 @@ def without_repeats(df: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     masks = earlier.groupBy("anchor", "path").agg(F.sum(F.expr("shiftleft(1L, place)")).alias("own_mask"))
     proofs = read.where("place = -1").groupBy("anchor", "path").agg(F.first("proof").alias("proof"))
     known = compact.select("anchor", "path", F.col("doc").alias("source")).join(proofs, ["anchor", "path"]).join(masks, ["anchor", "path"], "left")
+    known = stored(known, "known")
+    dropped(compact, read)
     whole = F.expr("shiftleft(1L, edges) - 1")
     mask = F.when(F.col("doc") > F.col("source"), whole).otherwise(F.coalesce("own_mask", F.lit(0)))
     runs = repeated.join(known, ["anchor", "path"]).withColumn("mask", mask).where("mask != 0")
     runs = runs.groupBy("doc").agg(F.collect_list(F.struct("start", "edges", "mask", "proof")).alias("__runs"))
     runs = stored(runs.withColumnRenamed("doc", "__run_doc"), "runs")
-    dropped(repeated, compact, read)
+    dropped(repeated, known)
 
     names = [c for c in df.columns if c not in ADDED]
     df = df.withColumn("text", F.col("text").cast("string"))
