@@ -65,7 +65,7 @@ def compare(name: str, df, con, sql: str) -> list[str]:
 
 def main() -> int:
     folder, names = sys.argv[1], sys.argv[2:]
-    spark = build_session(spark__driver__memory="16g", spark__ui__showConsoleProgress="false")
+    spark = build_session("local[8]", 8, spark__driver__memory="16g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("OFF")
     con = connect(folder)
     failed = 0

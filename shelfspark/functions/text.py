@@ -52,7 +52,7 @@ def holiday_flag(state: Column, school: Column) -> Column:
 
 def store_key(store: Column) -> Column:
     """``store_`` and the number, padded to four digits but never cut."""
-    digits = store.cast("int").cast("string")
+    digits = store.cast("bigint").cast("string")
     padded = F.when(F.length(digits) >= 4, digits).otherwise(F.lpad(digits, 4, "0"))
     return F.concat(F.lit("store_"), padded)
 

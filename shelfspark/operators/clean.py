@@ -17,6 +17,15 @@ def join_stores(sales: DataFrame, stores: DataFrame) -> DataFrame:
     return sales.join(stores, "Store", "left")
 
 
+def unique_stores(stores: DataFrame) -> DataFrame:
+    """``stores``, checked while it is read: a store number that occurs twice is an error."""
+    names = [c for c in stores.columns if c != "Store"]
+    once = stores.groupBy("Store").agg(F.count("*").alias("_times"), F.any_value(F.struct(*names)).alias("_row"))
+    fault = F.raise_error(F.concat(F.lit("Store occurs more than once in the store table: "), F.col("Store").cast("string")))
+    checked = F.when(F.col("_times") > 1, fault.cast(once.schema["_row"].dataType)).otherwise(F.col("_row"))
+    return once.select("Store", checked.alias("_row")).select("Store", "_row.*")
+
+
 def _filled(name: str, kind: str, default: object) -> Column:
     value = text.number(F.col(name)) if kind == "double" else F.col(name).cast(kind)
     return F.coalesce(value, F.lit(default).cast(kind))

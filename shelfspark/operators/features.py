@@ -136,14 +136,18 @@ def history_features(
 
 
 def _overlapping_blocks(df: DataFrame, date_col: str, tie_break: Sequence[str], cfg: FeatureConfig) -> DataFrame:
-    """Each row in the block of its rank, and again in the next block if it lies in its reach."""
+    """Each row in the block of its rank, and again in the next block if it lies in its reach.
+
+    A block is at least as long as the longest reach, so no row reaches beyond the next block.
+    """
     reach = max([*cfg.lags, *cfg.windows, 1])
+    length = max(BLOCK_ROWS, reach)
     ranked = grouped_rank(df, [], [date_col, *tie_break], "_rank")
-    block = F.floor((F.col("_rank") - 1) / BLOCK_ROWS)
-    place = (F.col("_rank") - 1) % BLOCK_ROWS
+    block = F.floor((F.col("_rank") - 1) / length)
+    place = (F.col("_rank") - 1) % length
     own = F.struct(block.alias("_block"), F.lit(True).alias("_own"))
     halo = F.struct((block + 1).alias("_block"), F.lit(False).alias("_own"))
-    copies = F.when(place >= BLOCK_ROWS - reach, F.array(own, halo)).otherwise(F.array(own))
+    copies = F.when(place >= length - reach, F.array(own, halo)).otherwise(F.array(own))
     return ranked.select(*df.columns, "_rank", F.inline(copies))
 
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
@@ -189,7 +190,7 @@ def fit_daily(train: DataFrame, regressors: Sequence[str], cfg: DailyModelConfig
 
 def train_daily_total(daily: DataFrame, variant: str = config.DEFAULT_DAILY_VARIANT, fit: DailyFit = fit_daily) -> tuple[DailyTransformer, DataFrame]:
     """Fits one variant on the train days and adds ``yhat`` to the validation and test days."""
-    regressors = config.daily_variant_regressors(variant)
+    regressors = list(config.DAILY_VARIANTS[variant])
     held_out = daily.where(F.col("split") != "train")
     if held_out.where(F.col("split") == "test").isEmpty():
         raise ValueError("The daily-total model requires test dates for evaluation")
@@ -257,7 +258,9 @@ class TrainedStoreModels:
         """
         try:
             about = json.loads(spark.read.text(f"{folder}/ensemble").first()["value"])
-        except Exception as error:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             raise ValueError(f"No saved ensemble below {folder}") from error
         members = [m for m, w in about["weights"].items() if w > 0]
         return TrainedStoreModels(

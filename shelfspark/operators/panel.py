@@ -44,16 +44,17 @@ def store_day_panel(sales: DataFrame, stores: DataFrame, include_closed_zero_sal
     Gives the rows of ``aggregate_store_days(prepare_sales(join_stores(...)))`` but joins the
     store attributes after the aggregation: they are constant within a store, so the shuffle
     carries few and narrow columns and the join sees store-days instead of raw rows. The store
-    number stands for its key until then. Each store must occur once in ``stores``.
+    number stands for its key until then. A store that occurs twice in ``stores`` ends the job
+    instead of multiplying its days.
     """
-    fields = {**clean.sales_fields(), "store_id": F.col("Store").cast("int")}
+    fields = {**clean.sales_fields(), "store_id": F.col("Store").cast("bigint")}
     rows = clean.select_rows(
         sales.select(*[c.alias(name) for name, c in fields.items()]), include_closed_zero_sales
     )
     order = [*SUMMED, "has_promotion", "is_open", "state_holiday", "school_holiday"]
     days = aggregate_store_days(rows, order).withColumnRenamed("store_id", "Store")
     attributes = clean.store_fields()
-    return clean.join_stores(days, stores).select(
+    return clean.join_stores(days, clean.unique_stores(stores)).select(
         "date",
         text.store_key(F.col("Store")).alias("store_id"),
         *SUMMED,

@@ -28,7 +28,6 @@ FILE = "file_path"
 ISSUE_FIELDS = ("file_path", "severity", "check", "column", "count", "message")
 EXAMPLES = 5
 SAMPLE_DATES = 10
-GROUP_LIMIT = 25
 
 
 # --- typing -------------------------------------------------------------------------------
@@ -393,8 +392,9 @@ def batch_gap_issue(checked: Checked, keys: DataFrame | None = None) -> DataFram
     )
 
 
-def group_gaps(df: DataFrame, groups: Sequence[str] = ("store_id",), date_col: str = "date", limit: int | None = GROUP_LIMIT) -> DataFrame:
-    """Groups with missing days: how many, and the longest step. ``limit`` caps the report."""
+def group_gaps(df: DataFrame, groups: Sequence[str] = ("store_id",), date_col: str = "date", limit: int | None = None) -> DataFrame:
+    """Groups with missing days: how many, and the longest step. A ``limit`` shows the first groups only,
+    with the number of all of them beside each."""
     days = (
         df.where(F.col(date_col).isNotNull())
         .dropna(subset=list(groups))
@@ -411,7 +411,10 @@ def group_gaps(df: DataFrame, groups: Sequence[str] = ("store_id",), date_col: s
         )
         .where("gap_count > 0")
     )
-    return report.orderBy(*groups).limit(limit) if limit else report
+    if limit is None:
+        return report
+    total = report.agg(F.count("*").alias("n")).scalar()
+    return report.orderBy(*groups).limit(limit).withColumn("groups_with_gaps", total)
 
 
 # --- profile ------------------------------------------------------------------------------
@@ -615,9 +618,13 @@ def issue_counts(issues: DataFrame, by: str) -> DataFrame:
     return issues.groupBy(by).agg(F.count("*").alias("issues"))
 
 
-def issue_examples(issues: DataFrame, limit: int = RULES.max_examples) -> DataFrame:
-    """The first issues by file; the limit is a report setting."""
-    return issues.orderBy(F.asc_nulls_last(FILE), "check", F.asc_nulls_first("column"), "message").limit(limit)
+def issue_examples(issues: DataFrame, limit: int | None = None) -> DataFrame:
+    """Issues in order of their file. A ``limit`` shows the first ones only, with the number of all beside each."""
+    ordered = issues.orderBy(F.asc_nulls_last(FILE), "check", F.asc_nulls_first("column"), "message")
+    if limit is None:
+        return ordered
+    total = issues.agg(F.count("*").alias("n")).scalar()
+    return ordered.limit(limit).withColumn("issues_found", total)
 
 
 def batch_summary(issues: DataFrame, summaries: DataFrame, mode: str = "full", available: int | None = None, limit: int = RULES.max_examples) -> DataFrame:

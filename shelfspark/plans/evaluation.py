@@ -351,8 +351,10 @@ def normal_quantile_points(spark, folder):
 
 def histogram_sql(source: str, group: str, value: str) -> str:
     return f"""e AS (SELECT {group} AS g, min({value}) AS lo, (max({value}) - min({value})) / 50 AS w, count(*) AS n FROM {source} GROUP BY 1),
-    h AS (SELECT g, lo, w, n, CAST(least(floor(({value} - lo) / w), 49) AS INTEGER) AS bin, count(*) AS rows
-      FROM {source} JOIN e ON {group} = g GROUP BY ALL)
+    c AS (SELECT g, CAST(least(floor(({value} - lo) / w), 49) AS INTEGER) AS bin, count(*) AS rows
+      FROM {source} JOIN e ON {group} = g GROUP BY ALL),
+    h AS (SELECT e.g, lo, w, n, b.bin, coalesce(rows, 0) AS rows
+      FROM e CROSS JOIN (SELECT CAST(unnest(range(50)) AS INTEGER) AS bin) b LEFT JOIN c ON e.g = c.g AND b.bin = c.bin)
     SELECT g AS {group}, bin, round(lo + bin * w, 4) AS bin_start, rows, round(rows / (n * w), 10) AS density FROM h"""
 
 
@@ -363,6 +365,12 @@ def error_histogram(spark, folder):
     return rounded(rounded(h, 4, ["bin_start"]), 10, ["density"])
 
 
+@query("O9.11", f"WITH {RESIDUAL_SQL}, {histogram_sql('res', 'model', 'residual')}")
+def residual_histogram(spark, folder):
+    h = reports.density_histogram(residual_rows(spark, folder), ["model"], "residual")
+    return rounded(rounded(h, 4, ["bin_start"]), 10, ["density"])
+
+
 @query("O9.11", f"WITH {SPLIT_PANEL_SQL}, {histogram_sql('split_panel', 'split', 'sales')}")
 def target_histogram(spark, folder):
     h = reports.density_histogram(split_panel(spark, folder), ["split"], "sales")

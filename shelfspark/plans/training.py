@@ -43,7 +43,7 @@ def store_model_metrics(spark, folder):
 def store_model_importances(spark, folder):
     trained = models.TrainedStoreModels.load(spark, saved_run(spark, folder))
     tables = [models.importances(m, trained.features, name, spark) for name, m in trained.models.items()]
-    return reports.top_importances(tables[0].unionByName(tables[1]))
+    return reports.top_importances(tables[0].unionByName(tables[1]), 20)
 
 
 @query("O10.13 O10.2 O10.15 O1.13")

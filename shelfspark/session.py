@@ -8,11 +8,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
+    """A session with this library's settings. What the caller does not name stays as the cluster has it."""
+    builder = SparkSession.builder
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = (
-        SparkSession.builder.master(master)
-        .appName("shelfspark")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        builder.appName("shelfspark")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # HotSpot does not compile methods above 8000 bytes. Wide feature rows reach that in one
@@ -29,7 +33,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, **conf:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints.
 
-    Only where none is named (tests, a laptop) a local temporary folder is set.
+    Only where none is named and Spark runs in this one process, a local temporary folder is set.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,6 +43,8 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if current is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("Name a folder that all executors share in spark.checkpoint.dir")
         current = tempfile.mkdtemp(prefix="shelfspark-")
         context.setCheckpointDir(current)
     return current

@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 
 PARTS = ("year", "month", "day")
 ROWS_PER_FILE = 5_000_000
+BYTES_PER_TASK = 256 << 20
+MOST_TASKS = 1_000_000
 
 
 def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str = "date") -> str:
     """Write ``folder/kind/year=/month=/day=``; month and day have two digits.
 
     The rows are range-partitioned by date and a hash of the row, so that neighbouring days share
-    a task while one very large day is spread over several tasks (and files). The number of
-    tasks is given, as small tables would otherwise be written by one task, day after day.
+    a task while one very large day is spread over several tasks (and files). The number of tasks
+    follows from the input's estimated bytes; small tables take one task a core, as one task would
+    otherwise write them day after day.
     """
     spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    tasks = min(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism), MOST_TASKS)
     path = f"{folder.rstrip('/')}/{kind}"
     day = F.to_date(date_col)
     spread = F.xxhash64(*df.columns)
@@ -74,13 +78,26 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> Da
     return found.load(path).select(F.col("_metadata.file_path").alias("file_path"))
 
 
-def parse_limit(raw: Any, name: str) -> int:
-    """Whole number; below zero counts as 0, which means no limit."""
-    try:
-        value = int(raw)
-    except (TypeError, ValueError) as error:
-        raise ValueError(f"{name} must be an integer, got {raw!r}") from error
-    return max(value, 0)
+class FileLimit(int):
+    """How many files a setting allows; 0 allows all, and so does whatever lies below."""
+
+    def __new__(cls, setting: Any, name: str) -> FileLimit:
+        whole = isinstance(setting, (int, float)) or isinstance(setting, str) and setting.strip().lstrip("+-").isdecimal()
+        if not whole:
+            # Fixed value: the text of this error.
+            raise ValueError(f"{name} must be an integer, got {setting!r}")
+        return super().__new__(cls, max(0, int(setting)))
+
+    def of(self, files: int) -> int:
+        return min(files, self or files)
+
+
+# Fixed values: (whether a selection says it, what it says).
+SELECTION_TEXTS = (
+    (lambda s: s.training_limit > 0, "Training file cap enabled: using first {s.training_count} of {s.available} sales files."),
+    (lambda s: s.mode == "sample", "Sample validation enabled: validating first {s.validation_count} of {s.training_count} files."),
+    (lambda s: s.mode == "full", "Full validation enabled: validating all {s.validation_count} selected training files."),
+)
 
 
 @dataclass(frozen=True)
@@ -97,38 +114,22 @@ class Selection:
     mode: str
 
     def messages(self) -> list[str]:
-        lines = []
-        if self.training_limit > 0:
-            lines.append(
-                f"Training file cap enabled: using first {self.training_count} "
-                f"of {self.available} sales files."
-            )
-        if self.mode == "sample":
-            lines.append(
-                f"Sample validation enabled: validating first {self.validation_count} "
-                f"of {self.training_count} files."
-            )
-        else:
-            lines.append(
-                f"Full validation enabled: validating all {self.validation_count} "
-                "selected training files."
-            )
-        return lines
+        return [text.format(s=self) for applies, text in SELECTION_TEXTS if applies(self)]
 
 
 def first_files(files: DataFrame, raw_limit: Any, name: str, order: str = "file") -> DataFrame:
     """The first N files in order; 0 keeps all. N is a setting, so the top N fits one task."""
-    limit = parse_limit(raw_limit, name)
+    limit = FileLimit(raw_limit, name)
     return files.orderBy(order).limit(limit) if limit else files
 
 
 def select_files(files: DataFrame, max_training: Any = 0, max_validation: Any = 0, order: str = "file") -> Selection:
     """Training cap first, validation cap inside it. ``files`` has one row per file."""
-    training_limit = parse_limit(max_training, "MAX_SALES_FILES")
-    validation_limit = parse_limit(max_validation, "VALIDATION_MAX_SALES_FILES")
+    training_limit = FileLimit(max_training, "MAX_SALES_FILES")
+    validation_limit = FileLimit(max_validation, "VALIDATION_MAX_SALES_FILES")
     available = files.count()
-    n_training = min(available, training_limit) if training_limit else available
-    n_validation = min(n_training, validation_limit) if validation_limit else n_training
+    n_training = training_limit.of(available)
+    n_validation = validation_limit.of(n_training)
     training = first_files(files, n_training, "MAX_SALES_FILES", order) if training_limit else files
     validation = (
         first_files(training, validation_limit, "VALIDATION_MAX_SALES_FILES", order)
