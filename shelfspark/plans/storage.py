@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.operators import clean, compare, quality
+from shelfspark.operators import clean, compare, file_batch, quality
 from shelfspark.operators.panel import aggregate_store_days
 from shelfspark.plans import evaluation as ev
+from shelfspark.plans import quality_checks as checks
 from shelfspark.plans import tables as t
 from shelfspark.plans.catalog import query, rounded
 from shelfspark.session import scratch_path
@@ -126,6 +127,83 @@ def unreadable_files(spark, folder):
     return issues.groupBy("severity", "check", "message").agg(F.count("*").alias("files")).select("*", rows.alias("readable_rows"))
 
 
+NO_HOLIDAY_MONTH, TEXT_YEAR = "1995-06", "1996"
+BATCH_SQL = checks.ALL_ISSUES.replace(
+    "CAST(l_returnflag <> 'N' AS INTEGER) AS is_holiday",
+    f"CASE WHEN strftime(l_shipdate, '%Y-%m') <> '{NO_HOLIDAY_MONTH}' THEN CAST(l_returnflag <> 'N' AS INTEGER) END AS is_holiday",
+) + f""", whole AS (
+    SELECT * FROM issues WHERE file_path IS NULL OR file_path <> 'sales/{NO_HOLIDAY_MONTH}-01.parquet' OR "column" IS DISTINCT FROM 'is_holiday'
+    UNION ALL SELECT DISTINCT file_path, 'error', 'schema', CAST(NULL AS VARCHAR), CAST(1 AS BIGINT), 'Missing required columns: [''is_holiday'']'
+      FROM dirty WHERE file_path = 'sales/{NO_HOLIDAY_MONTH}-01.parquet'
+    UNION ALL SELECT 'sales/1980-01-01.parquet', 'error', 'data_quality', NULL, NULL, 'File contains no rows' FROM dirty HAVING count(*) > 0
+    UNION ALL SELECT 'sales/1980-02-01.parquet', 'error', 'file_read', NULL, NULL, 'Could not read parquet file' FROM dirty HAVING count(*) > 0)"""
+
+
+def monthly_files(spark, folder):
+    """Order lines with faults as one parquet file a month: one month lacks a column, one year has another type of it,
+    one file has no rows, one is damaged."""
+    rows = star_tables.dirty_sales(spark, folder)
+    path = scratch_path(spark, "monthly")
+    month = F.regexp_extract("file_path", r"(\d{4}-\d{2})", 1)
+    rows = rows.withColumn("file", F.concat(F.lit("sales-"), month, F.lit("-01"))).drop("file_path")
+
+    def write(part, how):
+        part.repartition("file").write.mode("append").partitionBy("file").parquet(path) if how == "parquet" else part.write.mode("append").partitionBy("file").text(path)
+
+    of_month = F.substring("file", 7, 7)
+    lacks, text = of_month == NO_HOLIDAY_MONTH, F.substring("file", 7, 4) == TEXT_YEAR
+    write(rows.where(~lacks & ~text), "parquet")
+    write(rows.where(text).withColumn("is_holiday", F.col("is_holiday").cast("string")), "parquet")
+    write(rows.where(lacks).drop("is_holiday"), "parquet")
+    rows.where("false").drop("file").coalesce(1).write.parquet(f"{path}/file=sales-1980-01-01")
+    write(spark.range(1).select(F.lit("no parquet").alias("value"), F.lit("sales-1980-02-01").alias("file")), "text")
+    return daily.list_files(spark, path, "part-*")
+
+
+def _labelled(df):
+    return df.withColumn("file_path", F.concat(F.lit("sales/"), F.regexp_extract("file_path", r"(\d{4}-\d{2}-\d{2})", 1), F.lit(".parquet")))
+
+
+@query("O3.2 O3.3 O3.24 O3.26 O1.6", f"{BATCH_SQL} SELECT * FROM whole")
+def validated_files(spark, folder):
+    """All issues of a batch of real files."""
+    issues, _, _ = file_batch.validate_files(spark, monthly_files(spark, folder), today=checks.today())
+    return _labelled(issues)
+
+
+@query(
+    "O3.23 O3.24 O3.26",
+    f"""{BATCH_SQL}, files AS (SELECT file_path, count(*) AS rows FROM dirty GROUP BY 1
+      UNION ALL SELECT 'sales/1980-01-01.parquet', 0 UNION ALL SELECT 'sales/1980-02-01.parquet', 0)
+    SELECT f.file_path, f.rows, coalesce(n, 0) AS issues_found, coalesce(e, 0) AS blocking_issues_found, coalesce(w, 0) AS warnings_found,
+      coalesce(c, '') AS checks_failed
+    FROM files f LEFT JOIN (SELECT file_path, count(*) AS n, count(*) FILTER (WHERE severity = 'error') AS e,
+      count(*) FILTER (WHERE severity = 'warning') AS w, string_agg(DISTINCT "check", ',' ORDER BY "check") AS c
+      FROM whole WHERE file_path IS NOT NULL GROUP BY 1) i ON f.file_path = i.file_path""",
+)
+def validated_file_summaries(spark, folder):
+    """One row for each file of the batch, the empty and the damaged one too."""
+    _, summaries, _ = file_batch.validate_files(spark, monthly_files(spark, folder), today=checks.today())
+    return _labelled(summaries)
+
+
+@query(
+    "O3.24 O3.25 O1.6",
+    f"""{BATCH_SQL}, files AS (SELECT DISTINCT file_path FROM dirty)
+    SELECT 'full' AS validation_mode, f.n + 2 AS total_files_validated, f.n + 2 AS total_files_available, f.n + 2 AS total_training_files_selected,
+      CAST(0 AS BIGINT) AS max_sales_files, CAST(0 AS BIGINT) AS validation_max_sales_files, r.rows AS total_rows,
+      (SELECT count(DISTINCT file_path) FROM whole) AS total_files_with_issues, f.n + 2 > 25 AS file_summaries_truncated,
+      i.n AS issues_found, i.e AS blocking_issues_found, i.w AS warnings_found, i.n > 25 AS issues_truncated, r.lo AS first_date, r.hi AS last_date,
+      'Full validation enabled: validating all ' || (f.n + 2) || ' selected training files.' AS messages
+    FROM (SELECT count(*) AS n FROM files) f, (SELECT count(*) AS rows, min(date) AS lo, max(date) AS hi FROM typed) r,
+      (SELECT count(*) AS n, count(*) FILTER (WHERE severity = 'error') AS e, count(*) FILTER (WHERE severity = 'warning') AS w FROM whole) i""",
+)
+def validated_batch(spark, folder):
+    """The totals of the batch, with its selection, dates and messages."""
+    _, _, summary = file_batch.validate_files(spark, monthly_files(spark, folder), today=checks.today())
+    return summary.withColumn("messages", F.array_join("messages", "; "))
+
+
 @query("O1.9", ev.REPORT_SQL)
 def performance_report_file(spark, folder):
     rows = ev.performance_rows(spark, folder)
