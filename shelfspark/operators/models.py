@@ -203,9 +203,7 @@ def train_daily_total(daily: DataFrame, variant: str = config.DEFAULT_DAILY_VARI
 
 def labelled_daily_totals(full_rows: DataFrame, split_cfg: config.SplitConfig = config.SplitConfig()) -> DataFrame:
     """Daily totals of full rows, with the split of each day."""
-    daily = panel.build_daily_totals(full_rows)
-    days = splits.date_splits(daily.withColumnRenamed("ds", "date"), cfg=split_cfg)
-    return daily.join(F.broadcast(days.withColumnRenamed("date", "ds")), "ds")
+    return splits.label_days(panel.build_daily_totals(full_rows).where(F.col("ds").isNotNull()), "ds", split_cfg)
 
 
 def run_experiments(daily: DataFrame, fit: DailyFit = fit_daily) -> DataFrame:

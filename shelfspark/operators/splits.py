@@ -95,6 +95,11 @@ def date_splits(df: DataFrame, date_col: str = "date", cfg: SplitConfig = SplitC
     The window runs over distinct days only, which are bounded by the length of the history.
     """
     days = df.where(F.col(date_col).isNotNull()).select(F.to_date(date_col).alias(date_col)).distinct()
+    return label_days(days, date_col, cfg)
+
+
+def label_days(days: DataFrame, date_col: str = "date", cfg: SplitConfig = SplitConfig()) -> DataFrame:
+    """Adds ``split`` to a frame of one row per day."""
     ordered = W.partitionBy(F.lit(0)).orderBy(date_col)
     rank = F.row_number().over(ordered) - 1
     n = F.count("*").over(W.partitionBy(F.lit(0))).cast("double")
@@ -103,7 +108,7 @@ def date_splits(df: DataFrame, date_col: str = "date", cfg: SplitConfig = SplitC
     label = (
         F.when(rank < train, SPLITS[0]).when(rank < train + validation, SPLITS[1]).otherwise(SPLITS[2])
     )
-    return days.select(date_col, label.alias("split"))
+    return days.withColumn("split", label)
 
 
 def split_by_dates(df: DataFrame, target: str = "sales", date_col: str = "date", cfg: SplitConfig = SplitConfig()) -> DataFrame:

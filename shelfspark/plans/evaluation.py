@@ -152,8 +152,7 @@ def experiment_verdict(spark, folder):
 
 
 def split_panel(spark, folder):
-    days = t.store_days(spark, folder)
-    return splits.split_by_rows(days)
+    return splits.split_by_rows(t.stored_store_days(spark, folder))
 
 
 SPLIT_PANEL_SQL = f"""{t.PANEL_SQL}, split_panel AS (SELECT *,
@@ -285,7 +284,8 @@ def unknown_categories(spark, folder):
     FROM predictions""",
 )
 def residuals(spark, folder):
-    rows = reports.residuals(t.store_days(spark, folder), t.store_predictions(spark, folder), ["date", "store_id"])
+    days = t.stored_store_days(spark, folder)
+    rows = reports.residuals(days, t.store_predictions(spark, folder, days), ["date", "store_id"])
     return rounded(rows)
 
 
@@ -383,7 +383,8 @@ def target_histogram(spark, folder):
     UNION ALL SELECT date, store_id, model, round(prediction, 4) FROM predictions""",
 )
 def comparison_series(spark, folder):
-    rows = reports.comparison_series(t.store_days(spark, folder), t.store_predictions(spark, folder), ["date", "store_id"])
+    days = t.stored_store_days(spark, folder)
+    rows = reports.comparison_series(days, t.store_predictions(spark, folder, days), ["date", "store_id"])
     return rounded(rows)
 
 

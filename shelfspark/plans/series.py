@@ -100,7 +100,7 @@ FROM built"""
 
 @query("O6.3 O2.8 O2.9 O2.10 O2.11", FEATURE_SQL)
 def all_features(spark, folder):
-    days = t.store_days(spark, folder)
+    days = t.stored_store_days(spark, folder)
     return comparable(features.all_features(days, categories=clean.categorical_columns(days)))
 
 
@@ -169,7 +169,7 @@ def naive_forecasts(spark, folder):
     {t.split_case('row_number() OVER (ORDER BY date, store_id) - 1', 'count(*) OVER ()')} AS split FROM panel""",
 )
 def split_by_rows(spark, folder):
-    return splits.split_by_rows(t.store_days(spark, folder).select("date", "store_id", "sales"))
+    return splits.split_by_rows(t.stored_store_days(spark, folder).select("date", "store_id", "sales"))
 
 
 @query(

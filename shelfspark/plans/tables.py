@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators import baselines, clean, models, panel, splits
+from shelfspark.session import scratch_path
 from shelfspark.sources import star_tables
 
 PANEL_ORDER = ("sales", "customer_traffic", "has_promotion", "is_open", "state_holiday", "school_holiday")
@@ -21,6 +22,13 @@ def store_days(spark: SparkSession, folder: str) -> DataFrame:
     return panel.store_day_panel(star_tables.raw_sales(spark, folder), star_tables.raw_stores(spark, folder))
 
 
+def stored_store_days(spark: SparkSession, folder: str) -> DataFrame:
+    """The panel, written to the shared folder: for what reads it more than once. The fact table is read once."""
+    path = scratch_path(spark, "panel")
+    store_days(spark, folder).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sales_rows(spark: SparkSession, folder: str) -> DataFrame:
     return clean.prepare_sales_only(star_tables.raw_sales(spark, folder))
 
@@ -33,9 +41,10 @@ def labelled_daily(spark: SparkSession, folder: str) -> DataFrame:
     return models.labelled_daily_totals(sales_rows(spark, folder))
 
 
-def store_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def store_predictions(spark: SparkSession, folder: str, panel_rows: DataFrame | None = None) -> DataFrame:
     """(date, store_id, split, model, y, prediction): naive forecasts that stand in for models."""
-    days = store_days(spark, folder).select("date", "store_id", "sales")
+    panel_rows = stored_store_days(spark, folder) if panel_rows is None else panel_rows
+    days = panel_rows.select("date", "store_id", "sales")
     guessed = baselines.add_baselines(days, "date", "sales", ["store_id"])
     labels = splits.date_splits(days)
     mixed = (F.col("yhat_naive_yesterday") + F.col("yhat_rolling_7")) / 2

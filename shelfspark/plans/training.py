@@ -24,7 +24,7 @@ def saved_run(spark, folder) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _SAVED:
         path = scratch_path(spark, "models")
-        data = models.prepare_store_data(t.store_days(spark, folder))
+        data = models.prepare_store_data(t.stored_store_days(spark, folder))
         trained = models.train_store_models(data)
         trained.save(spark, path)
         models.test_predictions(trained, data).write.parquet(f"{path}/test_predictions")
@@ -57,7 +57,7 @@ def store_forecasts(spark, folder):
 @query("O10.5")
 def tree_search(spark, folder):
     """Settings tried on the time split, best first."""
-    data = models.prepare_store_data(t.store_days(spark, folder))
+    data = models.prepare_store_data(t.stored_store_days(spark, folder))
     small = replace(config.TREES_A, trees=20)
     _, scored = models.search_trees(data, small, trials=2)
     rows = [(c.trees, c.depth, c.rate, v) for c, v in scored]
