@@ -35,6 +35,19 @@ def test_raw_csv_tables(spark, tmp_path):
     assert rows[("store_0001", 2)]["sales"] == 0.0
 
 
+def test_a_store_that_occurs_twice_is_an_error(spark):
+    once = spark.createDataFrame([(1, "a"), (3_000_000_000, "b")], "Store bigint, StoreType string")
+    assert sorted(tuple(r) for r in clean.unique_stores(once).collect()) == [(1, "a"), (3_000_000_000, "b")]
+    with pytest.raises(Exception, match="occurs more than once in the store table: 1"):
+        clean.unique_stores(once.union(once.limit(1))).collect()
+
+
+def test_large_store_numbers_have_keys(spark):
+    from shelfspark.functions import text
+
+    assert spark.range(1).select(text.store_key(F.lit(3_000_000_000))).first()[0] == "store_3000000000"
+
+
 def test_defaults_of_prepared_rows(spark):
     joined = spark.createDataFrame(
         [(7, DAY, 5.0, None, None, None, None, None, None, None, None, None, None)],

@@ -152,6 +152,9 @@ def test_gaps(spark):
     rows = [("a", day), ("a", day + dt.timedelta(days=5)), ("b", day), ("b", day + dt.timedelta(days=1)), ("c", day), ("c", None)]
     df = spark.createDataFrame(rows, "store_id string, date date")
     assert [tuple(r) for r in quality.group_gaps(df).collect()] == [("a", 4, 5)]
+    many = spark.createDataFrame([(f"s{i:03d}", day + dt.timedelta(days=d)) for i in range(40) for d in (0, 3)], "store_id string, date date")
+    assert quality.group_gaps(many).count() == 40
+    assert {r["groups_with_gaps"] for r in quality.group_gaps(many, limit=5).collect()} == {40}
     assert sorted(r["date"].day for r in quality.missing_dates(df).collect()) == [3, 4, 5]
     row = quality.date_range(df).first()
     assert (row["days"], row["unique_dates"]) == (5, 3)

@@ -91,6 +91,17 @@ def test_ungrouped_features_over_blocks(spark, monkeypatch):
             np.testing.assert_allclose(got[f"sales_rolling_{n}_{stat}"].astype(float), want, atol=1e-9)
 
 
+def test_reach_of_more_than_two_blocks(spark, monkeypatch):
+    monkeypatch.setattr(features, "BLOCK_ROWS", 10)
+    rows = series(120)
+    df = spark.createDataFrame(rows, "date date, store_id string, sales double").repartition(3)
+    cfg = FeatureConfig(lags=(25,), windows=(35,), stats=("mean",))
+    got = features.history_features(df, groups=None, cfg=cfg, tie_break=["store_id"]).orderBy("date", "store_id").toPandas()
+    sales = pd.DataFrame(rows, columns=["date", "store_id", "sales"]).sort_values(["date", "store_id"])["sales"].reset_index(drop=True)
+    np.testing.assert_allclose(got["sales_lag_25"].astype(float), sales.shift(25))
+    np.testing.assert_allclose(got["sales_rolling_35_mean"].astype(float), sales.shift(1).rolling(35, min_periods=1).mean())
+
+
 @pytest.mark.parametrize("direct", [10, 200_000])
 def test_row_split_finds_the_cut_rows_on_a_hot_day(spark, monkeypatch, direct):
     monkeypatch.setattr(splits, "DIRECT_SORT_ROWS", direct)
