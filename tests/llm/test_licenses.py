@@ -2,7 +2,7 @@ import random
 
 import pytest
 from brute import LOWER, words
-from conftest import sentence
+from samples import sentence
 
 from shelfspark.llm import licenses
 

@@ -1,7 +1,7 @@
 import random
 
 from brute import near_duplicates as brute
-from conftest import SCHEMA, sentence
+from samples import SCHEMA, sentence
 
 from shelfspark.llm.components import components
 from shelfspark.llm.ngram_join import Similarity, near_duplicates

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 from brute import counts, near_duplicates, without_repeats
-from conftest import odd_rows, sentence
+from samples import odd_rows, sentence
 
 from shelfspark.llm.storage import stored
 

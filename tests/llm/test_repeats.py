@@ -1,7 +1,7 @@
 import random
 
 from brute import without_repeats as brute
-from conftest import SCHEMA, sentence
+from samples import SCHEMA, sentence
 
 from shelfspark.llm.repeats import Repeats, without_repeats
 
