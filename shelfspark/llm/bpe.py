@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import tokens, words
+from shelfspark.llm.storage import text_batches
 
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the white space of the pre-tokenizer beyond the six single bytes. Texts that hold any are encoded whole.
@@ -78,7 +79,7 @@ class Encoder:
         self.pattern = regex.compile(PATTERN.replace("{s}", r"\t-\r " + wide))
         self.apart = "|".join([f"[{WIDE_SPACE}]", *(re.escape(s.decode()) for s in self.special)])
         self.at_special = regex.compile("|".join(regex.escape(s.decode()) for s in self.special)) if self.special else None
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, list[int]] = {}
         strings = [b""] * (max([*self.vocabulary.values(), *self.special.values()]) + 1)
         for s, i in [*self.vocabulary.items(), *self.special.items()]:
@@ -95,11 +96,12 @@ class Encoder:
         The two are taken apart from the last merge on. If two parts that touch could have merged before either was
         used up, they would have.
         """
-        known = self.pairs.get((a, b))
+        key = a << 32 | b
+        known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > 250_000:
                 self.pairs.clear()
-            known = self.pairs[a, b] = self._fits(a, b)
+            known = self.pairs[key] = self._fits(a, b)
         return known
 
     def _fits(self, a: int, b: int) -> bool:
@@ -160,7 +162,7 @@ class Encoder:
             if ids is None:
                 ids = self.pretoken(part.encode())
                 if len(part) <= 32:
-                    if len(self.known) > 500_000:
+                    if len(self.known) > 200_000:
                         self.known.clear()
                     self.known[part] = ids
             out += ids
@@ -208,7 +210,7 @@ def _worker(name: str) -> tuple[Encoder, tokens.Units]:
         import public_tokenizers
 
         encoder = Encoder(public_tokenizers.path(name))
-        _workers[name] = encoder, tokens.Units(lambda spelt: [encoder.plain(x.decode()) for x in spelt], 1_000_000)
+        _workers[name] = encoder, tokens.Units(lambda spelt: [encoder.plain(x.decode()) for x in spelt], 700_000)
     return _workers[name]
 
 
@@ -243,7 +245,7 @@ def encoded(df: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     Null and empty texts have no ids. A null doc_id stays null; repeated rows give repeated results.
     """
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_coded(vocabulary), "doc_id long, ids array<int>")
 
 

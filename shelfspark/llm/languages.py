@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import words
-from shelfspark.llm.storage import stored
+from shelfspark.llm.storage import stored, text_batches
 
 BUCKET_BITS = 14
 EMPTY = 1 << BUCKET_BITS
@@ -87,7 +87,7 @@ def fitted(df: DataFrame, how: Settings = Settings()) -> TextModel:
 
     The rows with the least hashes of doc_id are taken, as many of each language; only their ids are sent around.
     """
-    df = df.select("doc_id", F.col("text").cast("string").alias("text"), F.col("declared").cast("string").alias("declared"))
+    df = text_batches(df).select("doc_id", F.col("text").cast("string").alias("text"), F.col("declared").cast("string").alias("declared"))
     known = df.where(F.col("declared").isin(*how.languages) & F.col("doc_id").isNotNull())
     each = how.train_rows // len(how.languages)
     ids = None
@@ -162,7 +162,7 @@ def identified(df: DataFrame, model: TextModel, how: Settings = Settings()) -> D
     n = len(how.languages)
     names = [c for c in df.columns if c not in ("language", "probability", "accepted")]
     host, suffix = address_parts(F.col("address"))
-    rows = df.select(*names, host.alias("__host"), suffix.alias("__suffix"), _text_evidence(spark, model, how.effective)(F.col("text").cast("string")).alias("__text"))
+    rows = text_batches(df).select(*names, host.alias("__host"), suffix.alias("__suffix"), _text_evidence(spark, model, how.effective)(F.col("text").cast("string")).alias("__text"))
 
     # Counts of clear rows, per host and declared language.
     best = F.array_max("__text")

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import words
+from shelfspark.llm.storage import text_batches
 
 # License notices.
 TEMPLATES = {
@@ -177,7 +178,7 @@ def licenses(df: DataFrame, templates: dict[str, str] | None = None, how: Settin
     The best window counts, the first of equals; words are counted from 0. Null, empty and short texts match nothing and
     give no row. A null doc_id stays null; repeated rows give repeated matches. Templates need ``how.n_words`` words.
     """
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_scan(how, plans(TEMPLATES if templates is None else templates, how)), MATCH_SQL)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.llm import words
 from shelfspark.llm.components import components
-from shelfspark.llm.storage import dropped, stored
+from shelfspark.llm.storage import dropped, stored, text_batches
 
 SLOT_BITS = 18
 SLOT_PARTS = 16
@@ -146,8 +146,10 @@ def _prefixes(similarity: Similarity, counts):
 
     def rows(batches):
         slots = counts.value
+        seen: set[int] = set()
         for batch in batches:
-            seen: set[int] = set()
+            if len(seen) > 100_000:
+                seen.clear()
             for _, shingles in _sets([batch], similarity.n_words):
                 n = len(shingles)
                 node = _key(shingles) if n else None
@@ -213,10 +215,11 @@ def near_duplicates(df: DataFrame, similarity: Similarity = Similarity()) -> Dat
 
     component_id is the smallest doc_id that links reach. Null, empty and blank texts have no set, n_shingles 0 and are
     their own component; a text with fewer words than an n-gram is one n-gram. Repeated rows give repeated results. A
-    null doc_id gives a null component and takes no part in linking. An empty table gives no rows.
+    null doc_id gives a null component and takes no part in linking. An empty table gives no rows. A doc_id names one
+    text: of rows that share it with different texts, one text is verified for all of them.
     """
     spark: SparkSession = df.sparkSession
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks = stored(rows.mapInArrow(_marks(similarity), MARK), "marks")
     texts = rows.where("doc_id is not null")
     nodes = stored(
@@ -228,7 +231,6 @@ def near_duplicates(df: DataFrame, similarity: Similarity = Similarity()) -> Dat
     shared = prefixes.join(repeated, "token", "left_semi").distinct()
     shared = stored(shared.join(nodes.select("node", "n", "id"), ["node", "n"]).select("token", "id", "n", "pos"), "shared")
     some = shared.select(F.col("id").alias("doc_id")).distinct()
-    # Of a doc_id that occurs twice with different texts, any text will do: the filter below keeps what has the set.
     whole = stored(texts.join(some, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
 
     first = shared.groupBy("token").agg(F.min(F.struct("pos", "n", "id")).alias("first")).select("token", "first.*")
@@ -258,3 +260,25 @@ def near_duplicates(df: DataFrame, similarity: Similarity = Similarity()) -> Dat
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """4-word shingles, Jaccard 0.85, over all documents."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), Similarity(4, 85, 100))
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), grams AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(words) >= 4
+    THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i : i + 3], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS gram FROM w
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS shared FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT u, v FROM pairs JOIN sizes a ON a.doc_id = u JOIN sizes b ON b.doc_id = v WHERE 100 * shared >= 85 * (a.n + b.n - shared)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents UNION SELECT v, root FROM reach JOIN links ON node = u
+)
+SELECT w.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id
+FROM w LEFT JOIN sizes USING (doc_id) JOIN reach ON node = w.doc_id GROUP BY w.doc_id
+"""

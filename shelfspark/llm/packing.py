@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfspark.llm import tokens
-from shelfspark.llm.storage import stored
+from shelfspark.llm.storage import stored, text_batches
 
 CAPACITY = 2048
 END = 0
@@ -190,7 +190,7 @@ def _vocabulary(name: str) -> tokens.Units:
                 out[i] = e.ids
             return out
 
-        _units[name] = tokens.Units(encode)
+        _units[name] = tokens.Units(encode, 500_000)
     return _units[name]
 
 
@@ -223,7 +223,7 @@ def pieces(df: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
 
     Null, empty and blank texts are the end id alone. A null doc_id stays null. Repeated rows give repeated pieces.
     """
-    rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_batches(df).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return rows.mapInArrow(_cut(vocabulary, capacity, with_ids), schema)
 

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH_ROWS = 1000
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -37,6 +40,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, of which texts will go to Python: batches get at most BATCH_ROWS rows, so that long texts fit in a worker."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes tables of ``stored`` that no later step reads."""
     for table in tables:

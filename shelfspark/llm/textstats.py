@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm import words
+from shelfspark.llm.storage import text_batches
 
 WINDOW = 5
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -124,5 +125,5 @@ def labelled(documents: DataFrame, labels: DataFrame, most: int, where: Column |
     ids = ids.where("doc_id is not null and quality in (0, 1)" if where is None else where & F.expr("doc_id is not null and quality in (0, 1)"))
     ids = ids.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.join(F.broadcast(ids), "doc_id")

@@ -24,7 +24,7 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 class Units:
     """Ids of the distinct units seen, by a 64-bit hash of the unit. Emptied when it holds ``most`` units."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list], most: int = 1_500_000):
+    def __init__(self, encode: Callable[[list[bytes]], list], most: int):
         self.encode, self.most = encode, most
         self._clear()
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.llm.storage import text_batches
+
 BREAK = "\r\n"
 
 
@@ -117,7 +119,7 @@ def responses(pages: DataFrame, how: Settings = Settings()) -> DataFrame:
 
     Null html is an empty page; a null url leaves the target out; repeated rows give equal records.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    rows = text_batches(pages).select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(_responses(how), RECORD_SQL)
 
 
