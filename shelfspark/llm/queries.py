@@ -12,11 +12,11 @@ from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.isolation import op7_isolation_forest
 from shelfspark.llm.languages import op3_language_id
 from shelfspark.llm.licenses import op2_license_scan
-from shelfspark.llm.ngram_join import op1_ngram_jaccard
+from shelfspark.llm.ngram_join import OP1_SQL, op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
 from shelfspark.llm.ranking import op4_quality_ranking
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
-from shelfspark.llm.vectors import op10_embedding_dedup
+from shelfspark.llm.vectors import OP10_SQL, op10_embedding_dedup
 from shelfspark.llm.warc import op6_warc_derivatives
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -48,5 +48,7 @@ QUERIES = {
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}
 
 SQL: dict[str, str] = {
+    "op1_ngram_jaccard": OP1_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op10_embedding_dedup": OP10_SQL,
 }

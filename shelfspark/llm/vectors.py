@@ -157,3 +157,24 @@ def near_vectors(df: DataFrame, how: Settings = Settings()) -> DataFrame:
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings, cosine 0.93 within a label."""
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP10_SQL = """
+WITH RECURSIVE finite AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), usable AS (
+  SELECT *, sqrt(list_dot_product(e, e)) AS norm FROM finite WHERE len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings UNION SELECT v, root FROM reach JOIN links ON node = u
+), roots AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+), degrees AS (
+  SELECT u, count(*) AS n FROM links GROUP BY u
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM embeddings JOIN roots ON node = vec_id LEFT JOIN degrees ON u = vec_id
+"""
