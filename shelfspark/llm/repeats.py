@@ -24,12 +24,13 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfspark.llm import words
-from shelfspark.llm.storage import dropped, stored
+from shelfspark.llm.storage import dropped, stored, text_batches
 
 PATH = pa.schema([("anchor", pa.int64()), ("path", pa.int64()), ("doc", pa.int64()), ("start", pa.int32()), ("edges", pa.int32())])
 PATH_SQL = "anchor long, path long, doc long, start int, edges int"
@@ -40,6 +41,10 @@ class Repeats:
     window: int = 13
     anchor_words: int = 5
 
+    def __post_init__(self):
+        if not 0 < self.anchor_words <= self.window <= self.anchor_words + 61:
+            raise ValueError("the windows of a path, at most window - anchor_words + 1, must fit 62 bits")
+
 
 def _span_hashes(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray, salt: int) -> np.ndarray:
     """A hash for each span of words lo to hi - 1."""
@@ -136,48 +141,49 @@ ADDED = {"kept_text": pa.string(), "n_words": pa.int64(), "n_removed": pa.int64(
 ADDED_SQL = "kept_text string, n_words long, n_removed long, removed array<struct<first: int, last: int>>"
 
 
-def _removed(how: Repeats, hashes: np.ndarray, runs: list[dict]) -> np.ndarray:
-    """Which words of a document go."""
-    gone = np.zeros(len(hashes) + 1, np.int64)
-    lo = np.array([r["start"] for r in runs], np.int64)
-    hi = lo + np.array([r["edges"] for r in runs], np.int64) + how.window - 1
-    fits = hi <= len(hashes)
-    agreed = np.zeros(len(runs), bool)
-    agreed[fits] = _proofs(hashes, lo[fits], hi[fits]) == np.array([r["proof"] for r in runs], np.int64)[fits]
-    for ok, r in zip(agreed, runs):
-        if not ok:
-            continue
-        for place in range(r["edges"]):
-            if r["mask"] >> place & 1:
-                gone[r["start"] + place] += 1
-                gone[r["start"] + place + how.window] -= 1
-    return np.cumsum(gone)[:-1] > 0
+def _gone(how: Repeats, hashes: np.ndarray, start: np.ndarray, edges: np.ndarray, mask: np.ndarray, proof: np.ndarray) -> np.ndarray:
+    """Which words of a document go, from its runs: a bit of ``mask`` for each window of a run."""
+    end = start + edges + how.window - 1
+    fits = end <= len(hashes)
+    agreed = np.zeros(len(start), bool)
+    agreed[fits] = _proofs(hashes, start[fits], end[fits]) == proof[fits]
+    run, place = np.nonzero(mask[agreed, None] >> np.arange(how.window) & 1)
+    window = start[agreed][run] + place
+    cover = np.zeros(len(hashes) + 1, np.int64)
+    np.add.at(cover, window, 1)
+    np.add.at(cover, window + how.window, -1)
+    return np.cumsum(cover)[:-1] > 0
 
 
 def _rewritten(how: Repeats, names: list[str]):
     def run(batches):
         for batch in batches:
-            text = batch.column("text")
-            lists = batch.column("__runs")
+            lists = pc.fill_null(batch.column("__runs"), [])
+            edge = np.asarray(lists.offsets)
+            edge = edge - edge[0]
+            runs = lists.flatten()
+            fields = [runs.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("start", "edges", "mask", "proof")]
             kept, n_words, n_removed, spans = [], [], [], []
-            for row in range(batch.num_rows):
-                value = text[row].as_py()
-                parts = (value or "").encode().split()
-                runs = lists[row].as_py()
-                n_words.append(len(parts))
-                if runs:
-                    hashes = next(words.rows_of_words(text.slice(row, 1)))[1]
-                    gone = _removed(how, hashes, runs)
-                    parts = list(compress(parts, (~gone).tolist()))
-                    edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0]))))
-                    spans.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2])])
-                else:
-                    spans.append([])
-                n_removed.append(n_words[-1] - len(parts))
-                kept.append(b" ".join(parts).decode())
+            for first, data, offsets in words.chunks(batch.column("text")):
+                if edge[first] < edge[first + len(offsets) - 1]:
+                    starts, ends, bounds = words.spans(data, offsets)
+                    hashes = words.word_hashes(data, starts, ends)
+                for i in range(len(offsets) - 1):
+                    parts = data[offsets[i] : offsets[i + 1]].tobytes().split()
+                    n_words.append(len(parts))
+                    own = slice(edge[first + i], edge[first + i + 1])
+                    if own.start < own.stop:
+                        gone = _gone(how, hashes[bounds[i] : bounds[i + 1]], *(f[own] for f in fields))
+                        parts = list(compress(parts, (~gone).tolist()))
+                        at = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0])))).tolist()
+                        spans.append([{"first": a, "last": b - 1} for a, b in zip(at[::2], at[1::2])])
+                    else:
+                        spans.append([])
+                    n_removed.append(n_words[-1] - len(parts))
+                    kept.append(b" ".join(parts).decode())
             added = [pa.array(c, t) for c, t in zip((kept, n_words, n_removed, spans), ADDED.values())]
-            fields = [batch.schema.field(n) for n in names] + [pa.field(n, t) for n, t in ADDED.items()]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + added, schema=pa.schema(fields))
+            schema = [batch.schema.field(n) for n in names] + [pa.field(n, t) for n, t in ADDED.items()]
+            yield pa.RecordBatch.from_arrays([batch.column(n) for n in names] + added, schema=pa.schema(schema))
 
     return run
 
@@ -190,7 +196,7 @@ def without_repeats(df: DataFrame, how: Repeats = Repeats()) -> DataFrame:
     empty kept_text; a null doc_id loses nothing and is no source. Rows that share a doc_id are no source of each other.
     Columns named like the four are replaced; all others stay. An empty table gives no rows.
     """
-    rows = df.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    rows = text_batches(df).select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     paths = rows.mapInArrow(_paths(how), PATH_SQL)
     anchors = paths.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor")
     # Written first: the join then reads both sides from plain exchanges, whose hot keys adaptive execution splits.
