@@ -12,9 +12,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_SEGMENT = 1 << 20
+_SEGMENT = 1 << 18
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
