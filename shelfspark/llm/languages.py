@@ -226,3 +226,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language, its probability and acceptance of all documents."""
     rows = document_evidence(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
     return identified(rows, fitted(rows)).select("doc_id", "language", "probability", "accepted")
+
+
+def op3_language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, its probability and acceptance of all pages, from their text, declared markup language and address."""
+    rows = page_evidence(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return identified(rows, fitted(rows)).select(F.col("doc_id").alias("page_id"), "language", "probability", "accepted")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.isolation import op7_isolation_forest
-from shelfspark.llm.languages import op3_language_id
+from shelfspark.llm.languages import op3_language_id, op3_language_id_pages
 from shelfspark.llm.licenses import op2_license_scan
 from shelfspark.llm.ngram_join import OP1_SQL, op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
@@ -46,6 +46,8 @@ QUERIES = {
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}
+# Further queries of an operator, on other tables.
+FURTHER = {"op3_language_id_pages": _found(op3_language_id_pages)}
 
 SQL: dict[str, str] = {
     "op1_ngram_jaccard": OP1_SQL,

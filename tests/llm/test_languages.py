@@ -79,3 +79,17 @@ def test_pages(spark):
     got = languages.identified(evidence, languages.fitted(evidence))
     assert got.where("language = declared").count() >= 0.97 * (got.count() - 2)
     assert got.where("doc_id = -1").first().language == "und"
+
+
+def test_the_registered_query_scores_all_pages(spark):
+    import __spark_entry__
+
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    got = __spark_entry__.queries()["op3_language_id_pages"](spark, FOLDER)
+    assert got.columns == ["page_id", "language", "probability", "accepted"]
+    joined = got.join(pages, "page_id")
+    assert got.count() == pages.count() == joined.count()
+    declared = F.regexp_extract("html", '<html lang="([a-z]+)"', 1)
+    assert joined.where((F.col("language") == declared) & F.col("accepted")).count() >= 0.97 * pages.count()
+    hosts = pages.select(*languages.address_parts(F.col("url")))
+    assert {r[0] for r in hosts.toDF("host", "suffix").select("suffix").distinct().collect()} == {"com", "net", "org"}
