@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
-import pyarrow as pa
-import pyarrow.parquet as pq
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,30 +15,59 @@ from shelfspark.operators import quality
 from shelfspark.operators.quality import FILE, ISSUE_FIELDS
 from shelfspark.sources.daily import select_files
 
-PROBED = pa.schema([(FILE, pa.string()), ("readable", pa.bool_()), ("rows", pa.int64()), ("columns", pa.list_(pa.string())), ("layout", pa.string())])
 PROBED_SQL = f"{FILE} string, readable boolean, rows long, columns array<string>, layout string"
+FOOTERS_SQL = f"{FILE} string, footer_rows long, columns array<string>, layout string"
+
+
+def footers(spark: SparkSession, names: list[str]) -> list[tuple]:
+    """(file_path, rows, columns, layout) from the end of each file, without its pages; nulls where it has no sound footer."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+
+    def footer(name: str) -> tuple:
+        try:
+            file = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), conf)
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(file)
+        except Py4JJavaError:
+            return name, None, None, None
+        try:
+            schema = reader.getFooter().getFileMetaData().getSchema()
+            return name, reader.getRecordCount(), [schema.getFieldName(i) for i in range(schema.getFieldCount())], schema.toString()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(8) as threads:
+        return list(threads.map(footer, names))
+
+
+def _decoded(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file_path, rows) that files of one layout give when every column of theirs is decoded; a file ends where it is damaged."""
+    frame = spark.read.option("ignoreCorruptFiles", "true").parquet(*paths)
+    columns = [F.col(f"`{c}`").cast("string") if "map<" in kind else F.col(f"`{c}`") for c, kind in frame.dtypes]
+    # The hash is there so that no column is left out of the scan.
+    sums = frame.groupBy(F.col("_metadata.file_path").alias(FILE)).agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*columns)).alias("hash"))
+    return sums.select(FILE, F.when(F.col("hash").isNotNull(), F.col("n")).alias("n"))
 
 
 def probe(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file_path, readable, rows, columns, layout) of each file, found by opening it in a task."""
-
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for name, content in zip(batch.column(FILE).to_pylist(), batch.column("content")):
-                try:
-                    file = pq.ParquetFile(io.BytesIO(content.as_py()))
-                    # Pages are decoded too: a file that breaks off in its middle has a sound footer.
-                    count = sum(b.num_rows for b in file.iter_batches())
-                    schema = file.schema_arrow
-                    rows.append((name, True, count, schema.names, str(list(zip(schema.names, map(str, schema.types))))))
-                except (pa.ArrowException, OSError):
-                    rows.append((name, False, 0, None, None))
-            columns = list(zip(*rows)) if rows else [[]] * len(PROBED)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PROBED)], schema=PROBED)
-
-    files = spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path").alias(FILE), "content")
-    return files.mapInArrow(footers, PROBED_SQL)
+    """(file_path, readable, rows, columns, layout) of each file.
+
+    Footers are read on the driver, as a scan's schema is; rows are counted by scans that can split a file. A file is
+    readable if it gives as many rows as its footer says: one that breaks off in its middle has a sound footer.
+    """
+    names = [r[0] for r in spark.read.format("binaryFile").load(paths).select(F.col("_metadata.file_path")).collect()]
+    ends = footers(spark, names)
+    layouts: dict[str, list[str]] = {}
+    for name, _, _, layout in ends:
+        if layout is not None:
+            layouts.setdefault(layout, []).append(name)
+    counted = spark.createDataFrame([], f"{FILE} string, n long")
+    for _, group in sorted(layouts.items()):
+        counted = counted.unionByName(_decoded(spark, group))
+    found = spark.createDataFrame(ends, FOOTERS_SQL).join(counted, FILE, "left")
+    readable = F.col("footer_rows").isNotNull() & (F.coalesce("n", F.lit(0)) == F.col("footer_rows"))
+    found = found.withColumn("readable", F.coalesce(readable, F.lit(False)))
+    kept = [F.when(F.col("readable"), F.col(c)).alias(c) for c in ("columns", "layout")]
+    return found.select(FILE, "readable", F.when(F.col("readable"), F.col("footer_rows")).otherwise(0).alias("rows"), *kept)
 
 
 def _common(kinds: list[T.DataType], c: Column, kind: T.DataType) -> Column:

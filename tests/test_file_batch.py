@@ -81,3 +81,23 @@ def test_limits_and_no_files(spark, tmp_path):
 def test_limits_are_whole_numbers(spark):
     with pytest.raises(ValueError, match="MAX_SALES_FILES must be an integer"):
         file_batch.validate_files(spark, spark.createDataFrame([("a",)], "file_path string"), max_training="x")
+
+
+def test_no_file_is_loaded_whole(spark, tmp_path):
+    """Files beyond the length that one value may have, stood in for by a low limit; one has damaged pages and a sound footer."""
+    put(tmp_path, 1, CLEAN, typed=True)
+    put(tmp_path, 2, [(dt.date(2024, 1, 2), *r[1:]) for r in CLEAN] * 2000)
+    broken = next((tmp_path / "sales/year=2024/month=01/day=02").iterdir())
+    content = bytearray(broken.read_bytes())
+    content[4:200] = b"\xff" * 196
+    broken.write_bytes(content)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "100")
+    try:
+        issues, files, summary = run(spark, tmp_path)
+        plan = file_batch.probe(spark, [str(broken)])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(limit)
+    assert [i for i in issues if i[1] == "file_read"] == [("2024-01-02", "file_read", None, None)]
+    assert files["2024-01-01"].rows == 2 and files["2024-01-02"].rows == 0 and summary.total_rows == 2
+    assert "content" not in plan and "InArrow" not in plan
