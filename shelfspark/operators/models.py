@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from shelfspark.functions.stats import error_metrics
 from shelfspark.operators import baselines, compare, encoding, features, forecast, panel, registry, splits
 from shelfspark.operators.clean import categorical_columns
 from shelfspark.operators.metrics import metric_rows, numeric_columns
-from shelfspark.session import shared_folder
+from shelfspark.session import scratch_path, shared_folder
 
 TARGET = "sales"
 NOT_FEATURES = ("date", "split", TARGET)
@@ -57,13 +57,17 @@ def prepare_store_data(store_days: DataFrame, split_cfg: config.SplitConfig = co
     return StoreData(rows, codes, names)
 
 
-def fit_trees(data: StoreData, cfg: TreeConfig) -> PipelineModel:
-    """Boosted trees on the train rows, stopped early by the validation rows."""
-    shared_folder(data.rows.sparkSession)
+def assembled_rows(data: StoreData) -> tuple[VectorAssembler, DataFrame]:
+    """The assembler, and (features, target, is_validation) of the train and validation rows."""
     rows = data.rows.where(F.col("split").isin("train", "validation")).withColumn(
         "is_validation", F.col("split") == "validation"
     )
     assembler = VectorAssembler(inputCols=list(data.features), outputCol="features")
+    return assembler, assembler.transform(rows).select("features", TARGET, "is_validation")
+
+
+def fit_vectors(assembled: DataFrame, cfg: TreeConfig) -> GBTRegressionModel:
+    """Boosted trees on assembled rows, stopped early by the validation rows."""
     trees = GBTRegressor(
         featuresCol="features",
         labelCol=TARGET,
@@ -72,12 +76,20 @@ def fit_trees(data: StoreData, cfg: TreeConfig) -> PipelineModel:
         maxDepth=cfg.depth,
         stepSize=cfg.rate,
         seed=cfg.seed,
+        subsamplingRate=cfg.row_share,
+        featureSubsetStrategy="all" if cfg.column_share == 1.0 else str(cfg.column_share),
         validationIndicatorCol="is_validation",
         validationTol=cfg.validation_tolerance,
         maxMemoryInMB=1024,
     )
-    assembled = assembler.transform(rows).select("features", TARGET, "is_validation")
-    return PipelineModel([assembler, trees.fit(assembled)])
+    return trees.fit(assembled)
+
+
+def fit_trees(data: StoreData, cfg: TreeConfig) -> PipelineModel:
+    """Boosted trees on the train rows, stopped early by the validation rows."""
+    shared_folder(data.rows.sparkSession)
+    assembler, assembled = assembled_rows(data)
+    return PipelineModel([assembler, fit_vectors(assembled, cfg)])
 
 
 def predict_trees(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
@@ -89,16 +101,20 @@ def predict_trees(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame
 def search_trees(data: StoreData, base: TreeConfig, trials: int = 50, seed: int = 42) -> tuple[TreeConfig, list[tuple[TreeConfig, float]]]:
     """Tries sampled settings on the time split and keeps the lowest validation RMSE.
 
-    The loop is over settings, not over data: each trial is a distributed fit.
+    The loop is over settings, not over data: each trial is a distributed fit on vectors that are stored once.
     """
-    grid = list(itertools.product((3, 4, 5, 6, 7, 8), (0.01, 0.03, 0.05, 0.1, 0.2, 0.3), (50, 100, 200, 300)))
+    shares = (0.6, 0.8, 1.0)
+    grid = list(itertools.product((3, 4, 5, 6, 7, 8, 9, 10), (0.01, 0.03, 0.05, 0.1, 0.2, 0.3), (50, 100, 200, 300), shares, shares))
     picked = random.Random(seed).sample(grid, min(trials, len(grid)))
-    validation = data.rows.where(F.col("split") == "validation")
+    spark = data.rows.sparkSession
+    path = scratch_path(spark, "tree-vectors")
+    assembled_rows(data)[1].write.parquet(path)
+    vectors = spark.read.parquet(path)
     scored: list[tuple[TreeConfig, float]] = []
-    for depth, rate, trees in picked:
-        cfg = replace(base, depth=depth, rate=rate, trees=trees)
-        out = predict_trees(fit_trees(data, cfg), validation, "yhat")
-        rmse = out.agg(error_metrics(F.col(TARGET), F.col("yhat"))["rmse"].alias("v")).first()["v"]
+    for depth, rate, trees, row_share, column_share in picked:
+        cfg = replace(base, depth=depth, rate=rate, trees=trees, row_share=row_share, column_share=column_share)
+        out = fit_vectors(vectors, cfg).transform(vectors.where("is_validation"))
+        rmse = out.agg(error_metrics(F.col(TARGET), F.col("prediction"))["rmse"].alias("v")).first()["v"]
         scored.append((cfg, float("inf") if rmse is None else rmse))
     return min(scored, key=lambda pair: pair[1])[0], scored
 

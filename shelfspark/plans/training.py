@@ -6,8 +6,6 @@ queries only need the saved models.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from shelfspark import config
@@ -58,10 +56,9 @@ def store_forecasts(spark, folder):
 def tree_search(spark, folder):
     """Settings tried on the time split, best first."""
     data = models.prepare_store_data(t.stored_store_days(spark, folder))
-    small = replace(config.TREES_A, trees=20)
-    _, scored = models.search_trees(data, small, trials=2)
-    rows = [(c.trees, c.depth, c.rate, v) for c, v in scored]
-    return spark.createDataFrame(rows, "trees int, depth int, rate double, validation_rmse double").orderBy("validation_rmse")
+    _, scored = models.search_trees(data, config.TREES_A)
+    rows = [(c.trees, c.depth, c.rate, c.row_share, c.column_share, v) for c, v in scored]
+    return spark.createDataFrame(rows, "trees int, depth int, rate double, row_share double, column_share double, validation_rmse double").orderBy("validation_rmse")
 
 
 @query("O10.6 O10.7 O1.12 O1.13")
