@@ -14,6 +14,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -168,6 +169,11 @@ class Encoder:
             out += ids
         return out
 
+    def units(self, spelt: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without special tokens, one after another, and how many each has."""
+        ids = [self.plain(x.decode()) for x in spelt]
+        return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
     def whole(self, text: str) -> list[int]:
         """Ids of any text."""
         if not self.at_special:
@@ -190,7 +196,8 @@ def text_ids(column: pa.Array, encoder: Encoder, units: tokens.Units) -> Iterato
         rows = len(offsets) - 1
         hi = np.insert(ends, bounds[1:], offsets[1:])
         lo = np.concatenate(([0], hi[:-1])) if len(hi) else hi
-        where, counts = units.find(words.word_hashes(data, lo, hi), lambda i: data[lo[i] : hi[i]].tobytes())
+        hashes, checks = (words.word_hashes(data, lo, hi, seed=seed) for seed in (0, 1))
+        where, counts = units.find(hashes, checks, lambda i: data[lo[i] : hi[i]].tobytes())
         ids = tokens.gathered(units.flat, where, counts)
         edges = np.concatenate(([0], np.cumsum(counts)))[bounds + np.arange(rows + 1)]
         for i in range(rows):
@@ -210,7 +217,7 @@ def _worker(name: str) -> tuple[Encoder, tokens.Units]:
         import public_tokenizers
 
         encoder = Encoder(public_tokenizers.path(name))
-        _workers[name] = encoder, tokens.Units(lambda spelt: [encoder.plain(x.decode()) for x in spelt], 700_000)
+        _workers[name] = encoder, tokens.Units(encoder.units)
     return _workers[name]
 
 

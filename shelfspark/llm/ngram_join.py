@@ -10,7 +10,7 @@ A document's set holds its distinct word n-grams, lower-cased, as 64-bit hashes;
 4. Star round: each n-gram's rows are compared with the row in which it stands earliest, the most typical set. Pairs pass
    the length filter, the positional filter (neither set may have more n-grams before the shared one than a link allows)
    and the suffix filter (hash ranges cut the sets at fixed pivots; the smaller counts of each range bound the overlap).
-   Each pair left is verified once, on the whole texts.
+   Each pair left is verified once, on the whole texts, by hashes of their words' bytes that the search does not use.
 5. Rest round: only pairs whose sets are still in different components can add anything. Within an n-gram, rows of its
    largest component meet the other rows only, never each other.
 
@@ -190,11 +190,11 @@ def _verified(similarity: Similarity):
         for batch in batches:
             ids_a, ids_b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
-            for i, (row, hashes) in enumerate(words.rows_of_words(batch.column("b_text"), lower=True)):
+            for i, (row, hashes) in enumerate(words.rows_of_words(batch.column("b_text"), lower=True, seed=1)):
                 # Rows of the same a follow each other, so its set is made once.
                 if ids_a[i] != last_id:
                     last_id = ids_a[i]
-                    last = words.shingle_set(next(words.rows_of_words(batch.column("a_text").slice(i, 1), lower=True))[1], similarity.n_words)
+                    last = words.shingle_set(next(words.rows_of_words(batch.column("a_text").slice(i, 1), lower=True, seed=1))[1], similarity.n_words)
                 other = words.shingle_set(hashes, similarity.n_words)
                 shared = len(np.intersect1d(last, other, assume_unique=True))
                 keep.append(similarity.of * shared >= similarity.at_least * (len(last) + len(other) - shared))

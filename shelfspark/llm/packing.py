@@ -29,6 +29,8 @@ from shelfspark.llm.storage import stored, text_batches
 CAPACITY = 2048
 END = 0
 VOCABULARY = "word_bpe_49k.json"
+# Fixed value: a special token of the vocabulary, which cuts a text and never stands in a word's ids.
+SEPARATOR = b"<|endoftext|>"
 RANK_ROWS = 200_000
 
 Pattern = tuple[int, ...]
@@ -174,23 +176,27 @@ def _vocabulary(name: str) -> tokens.Units:
         tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        model = tokenizer.model
-
-        def encode(spelt: list[bytes]) -> list[list[int]]:
-            out: list = []
-            others: list[int] = []
-            for x in spelt:
-                # Letters a to z pass the normaliser and the pre-tokenizer unchanged.
-                if x.isalpha() and x.isascii():
-                    out.append([t.id for t in model.tokenize(x.decode().lower())])
-                else:
-                    others.append(len(out))
-                    out.append(x.decode())
-            for i, e in zip(others, tokenizer.encode_batch_fast([out[i] for i in others], add_special_tokens=False)):
-                out[i] = e.ids
-            return out
-
-        _units[name] = tokens.Units(encode, 500_000)
+        mark = SEPARATOR.decode()
+        cut = tokenizer.token_to_id(mark)
+        if cut is None:
+            raise ValueError(f"the vocabulary has no {mark}")
+
+        def encode(spelt: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            # One call for all units, each between two marks; a unit that holds a mark itself goes by itself.
+            alone = [i for i, x in enumerate(spelt) if SEPARATOR in x.lower()]
+            joined = [b"" if SEPARATOR in x.lower() else x for x in spelt] if alone else spelt
+            ids = np.array(tokenizer.encode_batch_fast([SEPARATOR.join(joined).decode()], add_special_tokens=False)[0].ids, np.int64)
+            ends = np.append(np.flatnonzero(ids == cut), len(ids))
+            counts = np.diff(ends, prepend=-1) - 1
+            flat = ids[ids != cut]
+            if alone:
+                parts = np.split(flat, np.cumsum(counts)[:-1])
+                for i in alone:
+                    parts[i] = np.array(tokenizer.encode(spelt[i].decode(), add_special_tokens=False).ids, np.int64)
+                counts, flat = np.array([len(x) for x in parts]), np.concatenate(parts)
+            return flat, counts
+
+        _units[name] = tokens.Units(encode)
     return _units[name]
 
 

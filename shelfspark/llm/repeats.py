@@ -10,8 +10,8 @@ Windows of ``window`` words are the edges of a de Bruijn graph over all document
    path in any later document is repeated as a whole.
 4. Where an anchor has several paths the graph branches. The sources of these paths are cut into their edges again, and
    the least document of each edge decides it.
-5. Sources are read at their coordinates for a second, independent hash; a document's words are removed only where the
-   hash of its own words agrees. Equality so rests on 128 bits and more.
+5. Sources are read at their coordinates for a second hash, made from the bytes of the words with another seed; a
+   document's words are removed only where the second hash of its own words agrees. Equality rests on 128 bits and more.
 
 A document's list of runs is bounded by its own length; nothing else is gathered per key.
 """
@@ -96,6 +96,7 @@ def _records(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
 
 
 def _proofs(hashes: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """A hash for each span, from the words' second hashes, which share nothing with the first but the bytes."""
     return words.signed(_span_hashes(hashes, lo, hi, 11))
 
 
@@ -113,11 +114,12 @@ def _sources(how: Repeats):
             docs = batch.column("doc").to_pylist()
             lists = batch.column("paths").to_pylist()
             out: list[list] = [[] for _ in SOURCE]
-            for row, hashes in words.rows_of_words(batch.column("text")):
+            texts = batch.column("text")
+            for (row, hashes), (_, seconds) in zip(words.rows_of_words(texts), words.rows_of_words(texts, seed=1)):
                 lo = np.array([p["start"] for p in lists[row]], np.int64)
                 hi = lo + np.array([p["edges"] for p in lists[row]], np.int64)
                 fits = hi + how.window - 1 <= len(hashes)  # not so if one doc_id stands for different texts
-                proofs = _proofs(hashes, lo[fits], hi[fits] + how.window - 1).tolist()
+                proofs = _proofs(seconds, lo[fits], hi[fits] + how.window - 1).tolist()
                 edges = words.runs_of(hashes, how.window)
                 kept = [p for p, ok in zip(lists[row], fits) if ok]
                 for p, proof in zip(kept, proofs):
@@ -142,7 +144,7 @@ ADDED_SQL = "kept_text string, n_words long, n_removed long, removed array<struc
 
 
 def _gone(how: Repeats, hashes: np.ndarray, start: np.ndarray, edges: np.ndarray, mask: np.ndarray, proof: np.ndarray) -> np.ndarray:
-    """Which words of a document go, from its runs: a bit of ``mask`` for each window of a run."""
+    """Which words of a document go, from its words' second hashes and its runs: a bit of ``mask`` for each window of a run."""
     end = start + edges + how.window - 1
     fits = end <= len(hashes)
     agreed = np.zeros(len(start), bool)
@@ -167,7 +169,7 @@ def _rewritten(how: Repeats, names: list[str]):
             for first, data, offsets in words.chunks(batch.column("text")):
                 if edge[first] < edge[first + len(offsets) - 1]:
                     starts, ends, bounds = words.spans(data, offsets)
-                    hashes = words.word_hashes(data, starts, ends)
+                    hashes = words.word_hashes(data, starts, ends, seed=1)
                 for i in range(len(offsets) - 1):
                     parts = data[offsets[i] : offsets[i + 1]].tobytes().split()
                     n_words.append(len(parts))

@@ -22,57 +22,68 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 class Units:
-    """Ids of the distinct units seen, by a 64-bit hash of the unit. Emptied when it holds ``most`` units."""
+    """Ids of units seen, in a table of ``2**bits`` places of which each holds the last unit that fell on it.
 
-    def __init__(self, encode: Callable[[list[bytes]], list], most: int):
-        self.encode, self.most = encode, most
-        self._clear()
+    A unit's place follows from its hash. Two independent 64-bit hashes of its bytes must agree for it to be found. A unit
+    that has lost its place is encoded again when it comes back, so frequent units are held nearly always. Units of more
+    than ``LONG`` ids are not held, which bounds the table's memory.
+    """
 
-    def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
-        self.flat = np.zeros(1 << 16, np.int32)
+    LONG = 32
+
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 20):
+        self.encode, self.mask = encode, np.uint64((1 << bits) - 1)
+        size = 1 << bits
+        self.keys, self.checks = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        self.starts, self.counts = np.zeros(size, np.int32), np.full(size, -1, np.int32)
+        self.flat = np.zeros(6 * size, np.int32)
         self.used = 0
 
-    def _add(self, keys: np.ndarray, ids: list) -> None:
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(counts.sum())
-        while self.used + total > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.int32, total)
-        starts = self.used + np.cumsum(counts) - counts
-        self.used += total
-        at = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, at, keys)
-        self.starts = np.insert(self.starts, at, starts)
-        self.counts = np.insert(self.counts, at, counts)
-
-    def find(self, hashes: np.ndarray, spell: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _compact(self, needed: int) -> None:
+        """Makes room for ``needed`` ids behind those of held units."""
+        if self.used + needed <= len(self.flat):
+            return
+        live = np.flatnonzero(self.counts >= 0)
+        counts = self.counts[live].astype(np.int64)
+        ids = gathered(self.flat, self.starts[live].astype(np.int64), counts)
+        self.used = len(ids)
+        size = max(6 * len(self.keys), 2 * self.used) + needed
+        self.flat = np.zeros(size, np.int32)
+        self.flat[: self.used] = ids
+        self.starts[live] = np.cumsum(counts) - counts
+
+    def find(self, hashes: np.ndarray, checks: np.ndarray, spell: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Place in ``flat`` and number of ids of each unit; ``spell`` gives the bytes of unit i."""
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        new = ~self._has(distinct)
-        if new.any() and len(self.keys) + int(new.sum()) > self.most:
-            self._clear()
-            new[:] = True
-        if new.any():
-            self._add(distinct[new], self.encode([spell(i) for i in first[new].tolist()]))
-        at = np.searchsorted(self.keys, distinct)
-        return self.starts[at][back], self.counts[at][back]
-
-    def _has(self, sorted_keys: np.ndarray) -> np.ndarray:
-        if not len(self.keys):
-            return np.zeros(len(sorted_keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, sorted_keys), len(self.keys) - 1)
-        return self.keys[at] == sorted_keys
+        slot = (hashes & self.mask).astype(np.int64)
+        known = (self.keys[slot] == hashes) & (self.checks[slot] == checks) & (self.counts[slot] >= 0)
+        new = np.flatnonzero(~known)
+        if not len(new):
+            return self.starts[slot].astype(np.int64), self.counts[slot].astype(np.int64)
+        order = new[np.lexsort((checks[new], hashes[new]))]
+        other = np.ones(len(order), bool)
+        other[1:] = (hashes[order[1:]] != hashes[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+        first = order[other]
+        ids, counts = self.encode([spell(i) for i in first.tolist()])
+        self._compact(len(ids))
+        where, sizes = self.starts[slot].astype(np.int64), self.counts[slot].astype(np.int64)
+        self.flat[self.used : self.used + len(ids)] = ids
+        begin = self.used + np.cumsum(counts) - counts
+        back = np.cumsum(other) - 1
+        where[order], sizes[order] = begin[back], counts[back]
+        held = counts <= self.LONG
+        at = slot[first[held]]
+        self.keys[at], self.checks[at] = hashes[first[held]], checks[first[held]]
+        self.starts[at], self.counts[at] = begin[held], counts[held]
+        self.used += len(ids)
+        return where, sizes
 
 
 def word_ids(column, units: Units) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ids) where white space separates words and gives no ids itself."""
     for first, data, offsets in words.chunks(column):
         starts, ends, bounds = words.spans(data, offsets)
-        hashes = words.word_hashes(data, starts, ends)
-        where, counts = units.find(hashes, lambda i: data[starts[i] : ends[i]].tobytes())
+        hashes, checks = (words.word_hashes(data, starts, ends, seed=seed) for seed in (0, 1))
+        where, counts = units.find(hashes, checks, lambda i: data[starts[i] : ends[i]].tobytes())
         ids = gathered(units.flat, where, counts)
         edges = np.concatenate(([0], np.cumsum(counts)))[bounds]
         for i in range(len(offsets) - 1):

@@ -30,9 +30,9 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 IS_WORD = np.ones(256, bool)
 IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
-_BYTES = _mixed(np.arange(1, 257, dtype=np.uint64) * _ODD)
-_LOWER_BYTES = _BYTES.copy()
-_LOWER_BYTES[65:91] = _BYTES[97:123]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _STEP = np.uint64(0xD1342543DE82EF95)
 _BACK = np.uint64(pow(int(_STEP), -1, 2**64))
 _powers: dict[str, np.ndarray] = {}
@@ -75,12 +75,15 @@ def chunks(column: pa.Array | pa.ChunkedArray, most: int = CHUNK_BYTES) -> Itera
         first = last
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and the index of the first word of each row (one more at the end)."""
+def spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and the index of the first word of each row (one more at the end).
+
+    ``is_word`` tells for each byte whether it belongs to a word.
+    """
     size = len(data)
     if not size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    word = IS_WORD[data]
+    word = is_word[data]
     start, end = word.copy(), np.zeros(size + 1, bool)
     start[1:] &= ~word[:-1]
     end[1:size] = word[:-1] & ~word[1:]
@@ -92,21 +95,30 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
-    """A hash for each word."""
-    out = np.empty(len(starts), np.uint64)
-    table = _LOWER_BYTES if lower else _BYTES
-    lo = 0
-    while lo < len(starts):
-        a = starts[lo]
-        hi = max(lo + 1, int(np.searchsorted(ends, a + _SEGMENT, "right")))
-        part = table[data[a : ends[hi - 1]]]
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * _power(_STEP, len(part)), out=sums[1:])
-        s = starts[lo:hi] - a
-        out[lo:hi] = _mixed((sums[ends[lo:hi] - a] - sums[s]) * _power(_BACK, len(sums))[s])
-        lo = hi
-    return out
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, seed: int = 0) -> np.ndarray:
+    """A hash for each word; another ``seed`` gives another hash, independent of the first.
+
+    A word is cut into blocks of eight bytes. Each block goes through the mixing function together with its place, so
+    that no linear relation between words carries over to their sums; the sum is mixed with the word's length.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    begin, end = starts[0], ends[-1]
+    padded = np.zeros(end - begin + 8, np.uint8)
+    padded[:-8] = _LOWER[data[begin:end]] if lower else data[begin:end]
+    blocks = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    at, lengths = starts - begin, ends - starts
+    salt = np.uint64((seed + 1) * int(_ODD) % 2**64)
+    sums = _mixed((blocks[at] & _MASKS[np.minimum(lengths, 8)]) ^ salt)
+    long = np.flatnonzero(lengths > 8)
+    if len(long):
+        more = (lengths[long] - 1) // 8
+        first = np.cumsum(more) - more
+        place = np.arange(1, int(more.sum()) + 1) - np.repeat(first, more)
+        values = blocks[np.repeat(at[long], more) + 8 * place] & _MASKS[np.minimum(np.repeat(lengths[long], more) - 8 * place, 8)]
+        values = _mixed(values ^ _mixed(place.astype(np.uint64) * _ODD + salt))
+        sums[long] += np.add.reduceat(values, first)
+    return _mixed(sums + lengths.astype(np.uint64) * _ODD)
 
 
 def runs_of(hashes: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
@@ -127,11 +139,11 @@ def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
     return np.unique(runs_of(hashes, min(k, len(hashes))))
 
 
-def rows_of_words(column, lower: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+def rows_of_words(column, lower: bool = False, seed: int = 0) -> Iterator[tuple[int, np.ndarray]]:
     """(row, word hashes) of every row of a text column."""
     for first, data, offsets in chunks(column):
         starts, ends, bounds = spans(data, offsets)
-        hashes = word_hashes(data, starts, ends, lower)
+        hashes = word_hashes(data, starts, ends, lower, seed)
         for i in range(len(offsets) - 1):
             yield first + i, hashes[bounds[i] : bounds[i + 1]]
 
