@@ -9,6 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfspark.llm.bpe import op5_bpe
+from shelfspark.llm.contamination import OP13_SQL, op13_decontamination
 from shelfspark.llm.isolation import op7_isolation_forest
 from shelfspark.llm.languages import op3_language_id, op3_language_id_pages
 from shelfspark.llm.licenses import op2_license_scan
@@ -44,6 +45,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_decontamination": op13_decontamination,
 }
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}
 # Further queries of an operator, on other tables.
@@ -53,4 +55,5 @@ SQL: dict[str, str] = {
     "op1_ngram_jaccard": OP1_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op10_embedding_dedup": OP10_SQL,
+    "op13_decontamination": OP13_SQL,
 }
