@@ -15,6 +15,7 @@ from shelfspark.llm.languages import op3_language_id, op3_language_id_pages
 from shelfspark.llm.licenses import op2_license_scan
 from shelfspark.llm.ngram_join import OP1_SQL, op1_ngram_jaccard
 from shelfspark.llm.packing import op8_best_fit_packing
+from shelfspark.llm.prefix_trie import op11_prefix_trie
 from shelfspark.llm.ranking import op4_quality_ranking
 from shelfspark.llm.repeats import OP9_SQL, op9_substring_dedup
 from shelfspark.llm.vectors import OP10_SQL, op10_embedding_dedup
@@ -45,6 +46,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_decontamination": op13_decontamination,
 }
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}

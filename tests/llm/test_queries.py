@@ -23,14 +23,14 @@ def test_query(spark, name):
     df = queries.QUERIES[name](spark, FOLDER)
     if name in queries.SQL:
         assert check_sql.compare(name, df, check_sql.connect(FOLDER), queries.SQL[name]) == []
-    elif name not in ("op2_license_scan", "op6_warc_derivatives", "op8_best_fit_packing"):
+    elif name not in ("op2_license_scan", "op6_warc_derivatives", "op8_best_fit_packing", "op11_prefix_trie"):
         assert df.count() == spark.read.parquet(f"{FOLDER}/{TABLES.get(name, 'documents')}.parquet").count()
     else:
         assert df.count() > 0
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [n for n in range(1, 14) if n not in (11, 12)]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [n for n in range(1, 14) if n != 12]
 
 
 def test_the_library_without_the_subpackage(tmp_path):
