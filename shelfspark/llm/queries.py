@@ -8,6 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfspark.llm.alignment import op12_token_alignment
 from shelfspark.llm.bpe import op5_bpe
 from shelfspark.llm.contamination import OP13_SQL, op13_decontamination
 from shelfspark.llm.isolation import op7_isolation_forest
@@ -47,6 +48,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_alignment": op12_token_alignment,
     "op13_decontamination": op13_decontamination,
 }
 QUERIES = {name: _found(build) for name, build in QUERIES.items()}
