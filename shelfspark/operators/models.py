@@ -1,30 +1,27 @@
-"""Forecasters on Spark ML: boosted trees per store-day, a seasonal regression per day."""
+"""Forecasters: boosted trees per store-day, a seasonal regression per day."""
 
 from __future__ import annotations
 
-import itertools
 import json
 import math
-import random
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, replace
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark import config
 from shelfspark.config import TREES_A, TREES_B, DailyModelConfig, TreeConfig
 from shelfspark.functions.stats import error_metrics
-from shelfspark.operators import baselines, compare, encoding, features, forecast, panel, registry, splits
+from shelfspark.operators import baselines, boosting, compare, encoding, features, forecast, panel, registry, search, splits
+from shelfspark.operators.boosting import BoostedTrees
 from shelfspark.operators.clean import categorical_columns
 from shelfspark.operators.metrics import metric_rows, numeric_columns
-from shelfspark.session import scratch_path, shared_folder
+from shelfspark.operators.search import Parameter, Trial
 
 TARGET = "sales"
 NOT_FEATURES = ("date", "split", TARGET)
@@ -57,74 +54,66 @@ def prepare_store_data(store_days: DataFrame, split_cfg: config.SplitConfig = co
     return StoreData(rows, codes, names)
 
 
-def assembled_rows(data: StoreData) -> tuple[VectorAssembler, DataFrame]:
-    """The assembler, and (features, target, is_validation) of the train and validation rows."""
-    rows = data.rows.where(F.col("split").isin("train", "validation")).withColumn(
-        "is_validation", F.col("split") == "validation"
-    )
-    assembler = VectorAssembler(inputCols=list(data.features), outputCol="features")
-    return assembler, assembler.transform(rows).select("features", TARGET, "is_validation")
-
-
-def fit_vectors(assembled: DataFrame, cfg: TreeConfig) -> GBTRegressionModel:
-    """Boosted trees on assembled rows, stopped early by the validation rows."""
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=TARGET,
-        predictionCol="prediction",
-        maxIter=cfg.trees,
-        maxDepth=cfg.depth,
-        stepSize=cfg.rate,
-        seed=cfg.seed,
-        subsamplingRate=cfg.row_share,
-        featureSubsetStrategy="all" if cfg.column_share == 1.0 else str(cfg.column_share),
-        validationIndicatorCol="is_validation",
-        validationTol=cfg.validation_tolerance,
-        maxMemoryInMB=1024,
-    )
-    return trees.fit(assembled)
+def training_blocks(data: StoreData) -> boosting.Blocks:
+    """Binned train and validation rows."""
+    rows = data.rows.where(F.col("split").isin("train", "validation")).withColumn("is_validation", F.col("split") == "validation")
+    return boosting.binned(rows, data.features, TARGET, "is_validation")
 
 
-def fit_trees(data: StoreData, cfg: TreeConfig) -> PipelineModel:
-    """Boosted trees on the train rows, stopped early by the validation rows."""
-    shared_folder(data.rows.sparkSession)
-    assembler, assembled = assembled_rows(data)
-    return PipelineModel([assembler, fit_vectors(assembled, cfg)])
+def fit_trees(data: StoreData, cfg: TreeConfig) -> BoostedTrees:
+    """Boosted trees on the train rows, cut at the prefix that the validation rows like best."""
+    blocks = training_blocks(data)
+    try:
+        return boosting.fitted(blocks, cfg)
+    finally:
+        blocks.release()
 
 
-def predict_trees(model: PipelineModel, rows: DataFrame, name: str) -> DataFrame:
+def predict_trees(model: BoostedTrees, rows: DataFrame, name: str) -> DataFrame:
     """Adds the prediction as a column of the given name."""
-    scored = model.transform(rows).drop("features")
-    return scored.withColumnRenamed("prediction", name)
+    return model.transform(rows).withColumnRenamed("prediction", name)
+
 
+# The range of each setting that is searched, for depth-bounded and for leaf-bounded trees.
+_SHARED_SPACE = (
+    Parameter("trees", 50, 300, whole=True),
+    Parameter("rate", 0.01, 0.3, log=True),
+    Parameter("row_share", 0.6, 1.0),
+    Parameter("column_share", 0.6, 1.0),
+    Parameter("l1", 0.0, 1.0),
+    Parameter("l2", 0.0, 1.0),
+)
+SPACES = {
+    "xgboost": (Parameter("depth", 3, 10, whole=True), Parameter("gamma", 0.0, 0.5), *_SHARED_SPACE),
+    "lightgbm": (Parameter("leaves", 20, 100, whole=True), Parameter("min_rows", 10, 50, whole=True), *_SHARED_SPACE),
+}
 
-def search_trees(data: StoreData, base: TreeConfig, trials: int = 50, seed: int = 42) -> tuple[TreeConfig, list[tuple[TreeConfig, float]]]:
-    """Tries sampled settings on the time split and keeps the lowest validation RMSE.
 
-    The loop is over settings, not over data: each trial is a distributed fit on vectors that are stored once.
+def search_trees(data: StoreData, base: TreeConfig, trials: int = 50, seed: int = 42, at_once: int = 8) -> tuple[TreeConfig, list[tuple[Trial, int]]]:
+    """The setting with the lowest validation RMSE, and every trial with the trees it kept.
+
+    Rows are binned once. A trial is a fit whose prefix errors can end it early; ``at_once`` fits share the cluster.
     """
-    shares = (0.6, 0.8, 1.0)
-    grid = list(itertools.product((3, 4, 5, 6, 7, 8, 9, 10), (0.01, 0.03, 0.05, 0.1, 0.2, 0.3), (50, 100, 200, 300), shares, shares))
-    picked = random.Random(seed).sample(grid, min(trials, len(grid)))
-    spark = data.rows.sparkSession
-    path = scratch_path(spark, "tree-vectors")
-    assembled_rows(data)[1].write.parquet(path)
-    vectors = spark.read.parquet(path)
-    scored: list[tuple[TreeConfig, float]] = []
-    for depth, rate, trees, row_share, column_share in picked:
-        cfg = replace(base, depth=depth, rate=rate, trees=trees, row_share=row_share, column_share=column_share)
-        out = fit_vectors(vectors, cfg).transform(vectors.where("is_validation"))
-        rmse = out.agg(error_metrics(F.col(TARGET), F.col("prediction"))["rmse"].alias("v")).first()["v"]
-        scored.append((cfg, float("inf") if rmse is None else rmse))
-    return min(scored, key=lambda pair: pair[1])[0], scored
-
-
-def importances(model: PipelineModel, names: Sequence[str], label: str, spark: SparkSession) -> DataFrame:
+    blocks = training_blocks(data)
+    kept: dict[str, int] = {}
+
+    def tried(setting: dict[str, float], give_up: Callable[[int, float], bool]) -> tuple[list[tuple[int, float]], bool]:
+        cfg = replace(base, **setting)
+        model = boosting.fitted(blocks, cfg, give_up)
+        last, kept[repr(setting)] = model.curve[-1][0], len(model.trees)
+        return [(n, e) for n, _, e in model.curve if e is not None], last < min(cfg.trees, kept[repr(setting)] + cfg.patience)
+
+    try:
+        done = search.tree_parzen(SPACES[base.name], tried, trials, at_once=at_once, seed=seed)
+    finally:
+        blocks.release()
+    best = min(done, key=lambda t: (t.error, t.number))
+    return replace(base, **best.setting), [(t, kept[repr(t.setting)]) for t in done]
+
+
+def importances(model: BoostedTrees, names: Sequence[str], label: str, spark: SparkSession) -> DataFrame:
     """(model, feature, importance): one row per feature column."""
-    values = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(
-        [(label, n, float(v)) for n, v in zip(names, values)], "model string, feature string, importance double"
-    )
+    return spark.createDataFrame([(label, n, v) for n, v in zip(names, model.importances())], "model string, feature string, importance double")
 
 
 # --- daily level --------------------------------------------------------------------------
@@ -243,7 +232,7 @@ def run_experiments(daily: DataFrame, fit: DailyFit = fit_daily) -> DataFrame:
 
 @dataclass(frozen=True)
 class TrainedStoreModels:
-    models: Mapping[str, PipelineModel]
+    models: Mapping[str, BoostedTrees]
     weights: Mapping[str, float]
     codes: DataFrame
     features: tuple[str, ...]
@@ -259,7 +248,7 @@ class TrainedStoreModels:
 
     def save(self, spark: SparkSession, folder: str) -> None:
         for name, model in self.models.items():
-            model.write().overwrite().save(f"{folder}/{name}")
+            model.save(spark, f"{folder}/{name}")
         self.codes.write.mode("overwrite").parquet(f"{folder}/encoders")
         about = json.dumps({"weights": dict(self.weights), "features": list(self.features)})
         spark.range(1).select(F.lit(about).alias("value")).write.mode("overwrite").text(f"{folder}/ensemble")
@@ -278,29 +267,33 @@ class TrainedStoreModels:
             raise ValueError(f"No saved ensemble below {folder}") from error
         members = [m for m, w in about["weights"].items() if w > 0]
         return TrainedStoreModels(
-            {m: PipelineModel.load(f"{folder}/{m}") for m in members},
+            {m: BoostedTrees.load(spark, f"{folder}/{m}") for m in members},
             about["weights"],
             spark.read.parquet(f"{folder}/encoders"),
             tuple(about["features"]),
         )
 
 
-def load_available(folder: str, names: Sequence[str] = STORE_MODELS) -> dict[str, PipelineModel]:
+def load_available(spark: SparkSession, folder: str, names: Sequence[str] = STORE_MODELS) -> dict[str, BoostedTrees]:
     """Saved tree models by registered name; what is not there is skipped."""
     registered = {row[0]: row[2] for row in registry.MODEL_NAMES}
-    found: dict[str, PipelineModel] = {}
+    found: dict[str, BoostedTrees] = {}
     for name in names:
         try:
-            found[registered.get(name, name)] = PipelineModel.load(f"{folder}/{name}")
-        except Exception as error:
-            if "does not exist" not in str(error) and "PATH_NOT_FOUND" not in str(error):
+            found[registered.get(name, name)] = BoostedTrees.load(spark, f"{folder}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     return found
 
 
 def train_store_models(data: StoreData, configs: Sequence[TreeConfig] = (TREES_A, TREES_B), floor: float = 0.2) -> TrainedStoreModels:
-    """Both tree models, and ensemble weights from their validation R squared."""
-    models = {cfg.name: fit_trees(data, cfg) for cfg in configs}
+    """Both tree models on rows that are binned once, and ensemble weights from their validation R squared."""
+    blocks = training_blocks(data)
+    try:
+        models = {cfg.name: boosting.fitted(blocks, cfg) for cfg in configs}
+    finally:
+        blocks.release()
     validation = data.rows.where(F.col("split") == "validation")
     for name, model in models.items():
         validation = predict_trees(model, validation, f"yhat_{name}")

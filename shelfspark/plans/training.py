@@ -6,6 +6,9 @@ queries only need the saved models.
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfspark import config
@@ -17,8 +20,12 @@ from shelfspark.session import scratch_path
 _SAVED: dict[tuple[str, str], str] = {}
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def saved_run(spark, folder) -> str:
     """Folder of the trained store-level models and their test predictions."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)  # for workers to which nothing else names the package
     key = (spark.sparkContext.applicationId, folder)
     if key not in _SAVED:
         path = scratch_path(spark, "models")
@@ -52,13 +59,37 @@ def store_forecasts(spark, folder):
     return models.forecast_stores(trained, history, forecast.future_rows(history, 30), 30)
 
 
+def _saved_parts(spark, folder, part):
+    """One part of both saved tree models, with the model's name."""
+    run = saved_run(spark, folder)
+    found = [spark.read.parquet(f"{run}/{m}/{part}").select(F.lit(m).alias("model"), "*") for m in models.STORE_MODELS]
+    return found[0].unionByName(found[1])
+
+
+@query("O10.3 O10.4")
+def boosting_curves(spark, folder):
+    """Errors of every prefix of both ensembles, and whether it is the one that was kept."""
+    curves = _saved_parts(spark, folder, "curve")
+    best = F.min(F.struct("validation_rmse", "trees")).over(Window.partitionBy("model"))
+    return curves.withColumn("kept", F.col("trees") == best["trees"])
+
+
+@query("O10.3 O10.4")
+def tree_nodes(spark, folder):
+    """Every node of both ensembles: split, gain, value and training rows."""
+    return _saved_parts(spark, folder, "nodes")
+
+
 @query("O10.5")
 def tree_search(spark, folder):
-    """Settings tried on the time split, best first."""
+    """50 trials for each tree model, in its own space: setting, how it ended, trees kept and the least validation error."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     data = models.prepare_store_data(t.stored_store_days(spark, folder))
-    _, scored = models.search_trees(data, config.TREES_A)
-    rows = [(c.trees, c.depth, c.rate, c.row_share, c.column_share, v) for c, v in scored]
-    return spark.createDataFrame(rows, "trees int, depth int, rate double, row_share double, column_share double, validation_rmse double").orderBy("validation_rmse")
+    rows = []
+    for base in (config.TREES_A, config.TREES_B):
+        _, tried = models.search_trees(data, base)
+        rows += [(base.name, x.number, x.state, {k: float(v) for k, v in x.setting.items()}, kept, x.error) for x, kept in tried]
+    return spark.createDataFrame(rows, "model string, trial int, state string, setting map<string, double>, trees_kept int, validation_rmse double")
 
 
 @query("O10.6 O10.7 O1.12 O1.13")

@@ -95,7 +95,8 @@ def test_store_models_end_to_end(spark, tmp_path):
     history = store_panel(spark)
     data = models.prepare_store_data(history)
     assert "store_id_store_type_interaction" in data.features and "sales" not in data.features and "date" not in data.features
-    configs = [replace(config.TREES_A, trees=8, depth=4), replace(config.TREES_B, trees=8, depth=3)]
+    # Every tree counts by its rate, the first one too.
+    configs = [replace(config.TREES_A, trees=25, depth=4), replace(config.TREES_B, trees=40, leaves=8)]
     trained = models.train_store_models(data, configs)
     assert math.isclose(sum(trained.weights.values()), 1.0) and min(trained.weights.values()) >= 0.16
     predictions = models.test_predictions(trained, data)
@@ -104,7 +105,7 @@ def test_store_models_end_to_end(spark, tmp_path):
     trained.save(spark, str(tmp_path / "m"))
     loaded = models.TrainedStoreModels.load(spark, str(tmp_path / "m"))
     assert dict(loaded.weights) == dict(trained.weights)
-    available = models.load_available(str(tmp_path / "m"), ["lightgbm", "never_saved"])
+    available = models.load_available(spark, str(tmp_path / "m"), ["lightgbm", "never_saved"])
     assert list(available) == ["lightgbm_store_level"]
     out = models.forecast_stores(loaded, history, forecast.future_rows(history, 5), 5)
     rows = out.orderBy("store_id", "date").collect()
