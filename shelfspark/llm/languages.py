@@ -11,6 +11,7 @@ log posterior = tempered log likelihood of the text + log P(declared | language)
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import words
+from shelfspark.llm import markup, words
 from shelfspark.llm.storage import stored, text_batches
 
 BUCKET_BITS = 14
@@ -209,12 +210,16 @@ def identified(df: DataFrame, model: TextModel, how: Settings = Settings()) -> D
     return fused.select(*names, language.alias("language"), probability.alias("probability"), (known & (1 / total >= how.accept)).alias("accepted"))
 
 
+def _markup(pages: pa.Array) -> pa.Array:
+    found = [(markup.bare_text(p), markup.facts(p)["lang"]) for p in (x or "" for x in pages.to_pylist())]
+    declared = [re.match("[a-z]*", (lang or "").lower())[0] for _, lang in found]
+    return pa.StructArray.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array(declared, pa.string())], names=["text", "declared"])
+
+
 def page_evidence(pages: DataFrame) -> DataFrame:
     """Rows for ``identified`` from web pages (page_id, url, html): text without markup, declared language, address."""
-    html = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ")
-    declared = F.lower(F.regexp_extract(html, r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
-    return pages.select(F.col("page_id").alias("doc_id"), bare.alias("text"), declared.alias("declared"), F.col("url").alias("address"))
+    own = F.arrow_udf(_markup, "struct<text: string, declared: string>")(F.col("html").cast("string"))
+    return text_batches(pages).select(F.col("page_id").alias("doc_id"), own.alias("own"), F.col("url").alias("address")).select("doc_id", "own.text", "own.declared", "address")
 
 
 def document_evidence(documents: DataFrame) -> DataFrame:

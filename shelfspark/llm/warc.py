@@ -8,7 +8,6 @@ run, gives the same records.
 from __future__ import annotations
 
 import hashlib
-import html as entities
 import json
 import re
 import uuid
@@ -19,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfspark.llm.markup import facts, plain_text
 from shelfspark.llm.storage import text_batches
 
 BREAK = "\r\n"
@@ -41,32 +41,6 @@ def identifier(*parts: str | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps(parts))}>"
 
 
-_DROPPED = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
-_BLOCK = re.compile(r"</?(?:p|div|br|hr|li|ul|ol|tr|td|th|table|h[1-6]|nav|article|section|header|footer|main|aside|form|pre|blockquote|body|html)\b[^>]*>", re.I)
-_TAG = re.compile(r"<[^<>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_META = re.compile(r"<meta\b[^>]*?\bname\s*=\s*[\"']?([\w:.-]+)[\"']?[^>]*?\bcontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.I)
-
-
-def plain_text(page: str) -> str:
-    """Visible text: a line a block, white space in a line made one space."""
-    text = _TAG.sub("", _BLOCK.sub("\n", _DROPPED.sub(" ", page)))
-    lines = (" ".join(line.split()) for line in entities.unescape(text).split("\n"))
-    return "\n".join(line for line in lines if line)
-
-
-def page_facts(page: str) -> dict:
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    return {
-        "title": " ".join(entities.unescape(title[1]).split()) if title else None,
-        "lang": lang[1] if lang else None,
-        "metas": [{"name": m[1], "content": entities.unescape(m[2] or m[3] or "")} for m in _META.finditer(page)],
-        "links": [entities.unescape(next(x for x in m.groups() if x is not None)) for m in _HREF.finditer(page)],
-    }
-
-
 RECORD = pa.schema(
     [
         ("page_id", pa.int64()), ("warc_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()),
@@ -131,11 +105,11 @@ def _derived(how: Settings):
             for page_id, source, uri, date, kind, payload, block_digest, block in zip(*(batch.column(c).to_pylist() for c in names)):
                 http, _, page = (block or "").partition(BREAK * 2)
                 status, *lines = http.split(BREAK)
-                fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+                fields = [[k.strip(), v.strip()] for k, _, v in (x.partition(":") for x in lines)]  # repeated names stay
                 envelope = {
                     "warc": {"record_id": source, "content_type": kind, "date": date, "target_uri": uri, "payload_digest": payload, "block_digest": block_digest},
                     "http": {"status": status, "headers": fields},
-                    "html": page_facts(page),
+                    "html": facts(page),
                 }
                 meta = json.dumps(envelope, ensure_ascii=False, sort_keys=True)
                 for kind_, content_type, text in (("metadata", "application/json", meta), ("conversion", "text/plain; charset=utf-8", plain_text(page))):
