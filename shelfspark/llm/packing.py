@@ -17,6 +17,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +75,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> Counter[Pattern]:
     return sum(by_room.values(), Counter())
 
 
+@lru_cache(maxsize=1 << 18)
 def _step(low: Pattern, high: Pattern, room: int) -> tuple[int, Pattern, Pattern] | None:
     """The exchange that fills ``high`` most: (gain, pieces out of ``low``, pieces out of ``high``)."""
     best: tuple[int, Pattern, Pattern] | None = None
@@ -97,50 +99,72 @@ def _replaced(pattern: Pattern, out: Pattern, into: Pattern) -> Pattern:
     return tuple(sorted(left + list(into), reverse=True))
 
 
-def improved(plan: Counter[Pattern], capacity: int, most_steps: int = 20_000) -> Counter[Pattern]:
+def improved(plan: Counter[Pattern], capacity: int) -> Counter[Pattern]:
     """The local search. It ends when the number of bins is the least possible, or no step raises the squared fill.
 
-    ``most_steps`` bounds the search, never the pieces packed.
+    Every step raises the sum of squared fills, which is bounded, so the search ends by itself. Underfull patterns are kept
+    in order of their fill; the emptiest that is not known to be stuck comes first. A pattern that has no step with any
+    fuller one is tried again only with patterns that are new since then.
     """
     plan = Counter({tuple(sorted(p, reverse=True)): m for p, m in plan.items()} if plan else {})
     least = -(-sum(sum(p) * m for p, m in plan.items()) // capacity)
-    stuck: set[Pattern] = set()
     bins = sum(plan.values())
-    for _ in range(most_steps):
-        if bins <= least:
-            break
-        open_ = sorted((p for p in plan if sum(p) < capacity), key=sum)
-        low = next((p for p in open_ if p not in stuck), None)
-        if low is None:
-            break
+    open_ = sorted((sum(p), p) for p in plan if sum(p) < capacity)
+    born = {p: 0 for _, p in open_}
+    tried: dict[Pattern, int] = {}
+    clock = 0
+
+    def add(pattern: Pattern, times: int) -> None:
+        if pattern not in plan and sum(pattern) < capacity:
+            insort(open_, (sum(pattern), pattern))
+            born[pattern] = clock
+        plan[pattern] += times
+
+    def take(pattern: Pattern, times: int) -> None:
+        plan[pattern] -= times
+        if not plan[pattern]:
+            del plan[pattern]
+            if sum(pattern) < capacity:
+                del open_[bisect_left(open_, (sum(pattern), pattern))], born[pattern]
+                tried.pop(pattern, None)
+
+    waiting = [p for _, p in open_]  # in the order in which they are tried; sorted by fill
+    place = 0
+    while bins > least and place < len(waiting):
+        low = waiting[place]
+        if low not in born:
+            place += 1
+            continue
+        clock += 1
+        since, fill = tried.get(low, -1), sum(low)
         best = None
-        for high in reversed(open_):
-            if high == low and plan[low] < 2:
-                continue
-            if sum(high) < sum(low):
+        for size, high in reversed(open_):
+            if size < fill:
                 break
-            step = _step(low, high, capacity - sum(high))
+            if born[high] <= since or (high == low and plan[low] < 2):
+                continue
+            step = _step(low, high, capacity - size)
             # A gain must leave the fuller bin fuller than before; among steps the tightest fit wins.
-            if step and (best is None or capacity - sum(high) - step[0] < best[0]):
-                best = capacity - sum(high) - step[0], high, step
+            if step and (best is None or capacity - size - step[0] < best[0]):
+                best = capacity - size - step[0], high, step
                 if best[0] == 0:
                     break
         if best is None:
-            stuck.add(low)
+            tried[low] = clock
+            place += 1
             continue
         _, high, (_, out, back) = best
         times = plan[low] // 2 if high == low else min(plan[low], plan[high])
         for p in (low, high):
-            plan[p] -= times
-            if not plan[p]:
-                del plan[p]
+            take(p, times)
         emptied, filled = _replaced(low, out, back), _replaced(high, back, out)
-        plan[filled] += times
+        add(filled, times)
         if emptied:
-            plan[emptied] += times
+            add(emptied, times)
         else:
             bins -= times
-        stuck.clear() if not emptied else stuck.discard(emptied)
+        # What is new may be a partner for any pattern that is no fuller: they wait again, from the emptiest on.
+        waiting, place = [p for _, p in open_], 0
     return plan
 
 
