@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 import json
-import math
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import asdict, dataclass, replace
+from dataclasses import dataclass, replace
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.config import TREES_A, TREES_B, DailyModelConfig, TreeConfig
-from shelfspark.functions.stats import error_metrics
+from shelfspark.config import TREES_A, TREES_B, TreeConfig
 from shelfspark.operators import baselines, boosting, compare, encoding, features, forecast, panel, registry, search, splits
 from shelfspark.operators.boosting import BoostedTrees
 from shelfspark.operators.clean import categorical_columns
+from shelfspark.operators.daily_model import DailyForecaster, fit_daily, fit_variants
 from shelfspark.operators.metrics import metric_rows, numeric_columns
 from shelfspark.operators.search import Parameter, Trial
 
@@ -128,71 +125,6 @@ class DailyTransformer(Protocol):
 DailyFit = Callable[[DataFrame, Sequence[str]], DailyTransformer]
 
 
-def daily_design(origin: str, span: int, regressors: Sequence[str], cfg: DailyModelConfig) -> Column:
-    """Trend with hinges, yearly and weekly Fourier pairs, and regressors, as one vector."""
-    day = F.datediff("ds", F.lit(origin).cast("date")).cast("double")
-    t = day / F.lit(float(max(span, 1)))
-    parts = [t]
-    for i in range(1, cfg.changepoints + 1):
-        parts.append(F.greatest(F.lit(0.0), t - cfg.changepoint_range * i / cfg.changepoints))
-    epoch_day = F.datediff("ds", F.lit("1970-01-01").cast("date")).cast("double")
-    for period, order in ((365.25, cfg.yearly_order), (7.0, cfg.weekly_order)):
-        for k in range(1, order + 1):
-            angle = epoch_day * (2 * math.pi * k / period)
-            parts += [F.sin(angle), F.cos(angle)]
-    parts += [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in regressors]
-    return array_to_vector(F.array(*parts))
-
-
-@dataclass(frozen=True)
-class DailyForecaster:
-    """A fitted daily regression with the dates that anchor its trend."""
-
-    model: LinearRegressionModel
-    origin: str
-    span: int
-    regressors: tuple[str, ...]
-    cfg: DailyModelConfig
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        config.require_columns(df.columns, ("ds", *self.regressors), "Daily-total input")
-        vector = daily_design(self.origin, self.span, self.regressors, self.cfg)
-        scored = self.model.transform(df.withColumn("_design", vector))
-        value = F.expm1("_fit") if self.cfg.multiplicative else F.col("_fit")
-        return scored.withColumn("yhat", value).drop("_design", "_fit")
-
-    def save(self, spark: SparkSession, path: str) -> None:
-        self.model.write().overwrite().save(f"{path}/regression")
-        about = {"origin": self.origin, "span": self.span, "regressors": self.regressors, "cfg": asdict(self.cfg)}
-        row = spark.range(1).select(F.lit(json.dumps(about)).alias("value"))
-        row.write.mode("overwrite").text(f"{path}/about")
-
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> DailyForecaster:
-        about = json.loads(spark.read.text(f"{path}/about").first()["value"])
-        return DailyForecaster(
-            LinearRegressionModel.load(f"{path}/regression"),
-            about["origin"],
-            about["span"],
-            tuple(about["regressors"]),
-            DailyModelConfig(**about["cfg"]),
-        )
-
-
-def fit_daily(train: DataFrame, regressors: Sequence[str], cfg: DailyModelConfig = DailyModelConfig()) -> DailyForecaster:
-    """Ridge regression on the daily design; on log1p of the target when multiplicative."""
-    ends = train.agg(F.min("ds").alias("lo"), F.max("ds").alias("hi"), F.count_distinct("ds").alias("n")).first()
-    if ends["n"] < 2:
-        raise ValueError("The daily-total model requires at least two training dates")
-    origin, span = ends["lo"].isoformat(), (ends["hi"] - ends["lo"]).days
-    goal = F.log1p(F.greatest(F.col("y"), F.lit(0.0))) if cfg.multiplicative else F.col("y")
-    rows = train.select(daily_design(origin, span, regressors, cfg).alias("_design"), goal.alias("_goal"))
-    model = LinearRegression(
-        featuresCol="_design", labelCol="_goal", predictionCol="_fit", regParam=cfg.regularisation, solver="normal"
-    ).fit(rows)
-    return DailyForecaster(model, origin, span, tuple(regressors), cfg)
-
-
 def train_daily_total(daily: DataFrame, variant: str = config.DEFAULT_DAILY_VARIANT, fit: DailyFit = fit_daily) -> tuple[DailyTransformer, DataFrame]:
     """Fits one variant on the train days and adds ``yhat`` to the validation and test days."""
     regressors = list(config.DAILY_VARIANTS[variant])
@@ -214,14 +146,16 @@ def labelled_daily_totals(full_rows: DataFrame, split_cfg: config.SplitConfig =
 def run_experiments(daily: DataFrame, fit: DailyFit = fit_daily) -> DataFrame:
     """Metric rows of the naive baselines and every variant, on validation and test.
 
-    The baselines run over the joined timeline, so the held-out days see earlier actuals. The
-    daily frame has one row per day and is used by every variant, hence persisted.
+    The variants share one pass over the training days. The baselines run over the joined timeline, so the held-out days
+    see earlier actuals. The daily frame has one row per day and is used by every variant, hence persisted.
     """
     daily = daily.persist()
     rows = baselines.baseline_metrics(baselines.add_baselines(daily))
     predictions = None
+    fitted = fit_variants(daily.where(F.col("split") == "train"), dict(config.DAILY_VARIANTS)) if fit is fit_daily else {}
     for variant in config.DAILY_VARIANTS:
-        _, scored = train_daily_total(daily, variant, fit)
+        known = fitted.get(variant)
+        _, scored = train_daily_total(daily, variant, fit if known is None else lambda *_, known=known: known)
         predictions = scored if predictions is None else predictions.unionByName(scored)
     rows = rows.unionByName(metric_rows(predictions, ["variant", "split"]))
     return compare.add_seasonal_comparison(rows)

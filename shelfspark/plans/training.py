@@ -6,15 +6,16 @@ queries only need the saved models.
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.operators import compare, forecast, metrics, models, reports
+from shelfspark.operators import compare, daily_model, forecast, metrics, models, reports
 from shelfspark.plans import tables as t
-from shelfspark.plans.catalog import query
+from shelfspark.plans.catalog import query, rounded
 from shelfspark.session import scratch_path
 
 _SAVED: dict[tuple[str, str], str] = {}
@@ -103,6 +104,44 @@ def daily_model_predictions(spark, folder):
     return loaded.transform(daily.where(F.col("split") != "train")).select("ds", "split", "y", "yhat")
 
 
+def _gram_sql() -> str:
+    """The design's columns and the sums of their products, over the training days."""
+    cfg = config.DailyModelConfig()
+    columns = {"level": "1", "slope": "t"}
+    for i in range(1, cfg.changepoints + 1):
+        columns[f"change_{i:02d}"] = f"greatest(0, t - CAST({cfg.changepoint_range * i / cfg.changepoints!r} AS DOUBLE))"
+    for name, period, order in (("year", 365.25, cfg.yearly_order), ("week", 7.0, cfg.weekly_order)):
+        for k in range(1, order + 1):
+            for f in ("sin", "cos"):
+                columns[f"{name}_{f}_{k:02d}"] = f"{f}(e * CAST({2 * math.pi * k / period!r} AS DOUBLE))"
+    columns |= {c: f"coalesce({c}, 0)" for c in config.REGRESSORS} | {"goal": "ln(1 + greatest(y, 0))"}
+    values = ", ".join(f"CAST({x} AS DOUBLE)" for x in columns.values())
+    names = ", ".join(f"'{c}'" for c in columns)
+    return f"""WITH {t.LABELLED_DAILY_SQL}, train AS (
+      SELECT *, CAST(date_diff('day', min(ds) OVER (), ds) AS DOUBLE) / greatest(date_diff('day', min(ds) OVER (), max(ds) OVER ()), 1) AS t,
+        CAST(date_diff('day', DATE '1970-01-01', ds) AS DOUBLE) AS e FROM labelled WHERE split = 'train'),
+    x AS (SELECT [{values}] AS x FROM train), n AS (SELECT unnest(range(1, {len(columns) + 1})) AS i)
+    SELECT ([{names}])[a.i] AS a, ([{names}])[b.i] AS b, round(sum(x[a.i] * x[b.i]), 4) AS total
+    FROM x, n AS a, n AS b WHERE a.i <= b.i GROUP BY a.i, b.i"""
+
+
+@query("O10.6 O10.8", _gram_sql())
+def daily_gram(spark, folder):
+    """The sums from which all variants of the daily model are fitted."""
+    train = t.labelled_daily(spark, folder).where(F.col("split") == "train")
+    plan = daily_model.design(train, config.REGRESSORS, config.DailyModelConfig())
+    return rounded(daily_model.gram(train, plan))
+
+
+@query("O10.6 O10.7 O10.8")
+def daily_variant_coefficients(spark, folder):
+    """Every coefficient of every variant, fitted from one pass over the days."""
+    train = t.labelled_daily(spark, folder).where(F.col("split") == "train")
+    fitted = daily_model.fit_variants(train, dict(config.DAILY_VARIANTS))
+    rows = [(variant, c, v) for variant, model in fitted.items() for c, v in model.coefficients.items()]
+    return spark.createDataFrame(rows, "variant string, column string, coefficient double")
+
+
 @query("O10.8 O10.7 O4.5")
 def daily_variant_metrics(spark, folder):
     """Every variant and baseline on validation and test."""
