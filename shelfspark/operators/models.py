@@ -23,6 +23,7 @@ from shelfspark.operators.search import Parameter, Trial
 TARGET = "sales"
 NOT_FEATURES = ("date", "split", TARGET)
 STORE_MODELS = ("xgboost", "lightgbm")
+DAILY_MODEL = "prophet_daily_total"
 
 
 # --- store level --------------------------------------------------------------------------
@@ -259,3 +260,38 @@ def forecast_stores(trained: TrainedStoreModels, history: DataFrame, future: Dat
         *[F.col(f"yhat_{m}") for m in trained.models],
     )
     return forecast.with_bounds(result)
+
+
+def registered_name(name: str) -> str:
+    """The registered name of a model that is given by its key or its registered name."""
+    known = {key: row[2] for row in registry.MODEL_NAMES for key in (row[0], row[2])}
+    if name not in known:
+        raise ValueError(f"Unknown model {name!r}. Known models: {', '.join(sorted(set(known.values())))}")
+    return known[name]
+
+
+def load_named(spark: SparkSession, folder: str, name: str) -> TrainedStoreModels | DailyForecaster:
+    """What a saved training run holds under a name: the store-level models, or the daily-total forecaster."""
+    registered = registered_name(name)
+    return DailyForecaster.load(spark, f"{folder}/{registered}") if registered == DAILY_MODEL else TrainedStoreModels.load(spark, folder)
+
+
+def forecast_named(spark: SparkSession, folder: str, name: str, history: DataFrame, future: DataFrame, days: int) -> DataFrame:
+    """(model, date, store_id, predicted_sales, lower_bound, upper_bound) by one saved model, at its own level.
+
+    A daily total has no store_id. A member without weight is not saved with the ensemble and gives an error.
+    """
+    registered = registered_name(name)
+    model = load_named(spark, folder, registered)
+    if isinstance(model, DailyForecaster):
+        totals = panel.build_daily_totals(forecast.require_future_rows(future, days).withColumn(TARGET, F.lit(0.0)))
+        found = model.transform(totals).select(F.col("ds").alias("date"), F.lit(None).cast("string").alias("store_id"), F.col("yhat").alias("predicted_sales"))
+        found = forecast.with_bounds(found)
+    else:
+        member = next(row[0] for row in registry.MODEL_NAMES if row[2] == registered)
+        found = forecast_stores(model, history, future, days)
+        if registered != "ensemble_store_level":
+            if member not in model.models:
+                raise ValueError(f"Model {registered} is not part of the saved ensemble")
+            found = forecast.with_bounds(found.withColumn("predicted_sales", F.col(f"yhat_{member}")))
+    return found.select(F.lit(registered).alias("model"), "date", "store_id", "predicted_sales", "lower_bound", "upper_bound")

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import math
 import os
+from functools import reduce
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.operators import compare, daily_model, forecast, metrics, models, reports
+from shelfspark.operators import compare, daily_model, forecast, metrics, models, registry, reports
 from shelfspark.plans import tables as t
 from shelfspark.plans.catalog import query, rounded
 from shelfspark.session import scratch_path
@@ -25,7 +26,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 
 def saved_run(spark, folder) -> str:
-    """Folder of the trained store-level models and their test predictions."""
+    """Folder of one training run of both levels: models, held-out predictions, and sizes, which are written last."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)  # for workers to which nothing else names the package
     key = (spark.sparkContext.applicationId, folder)
     if key not in _SAVED:
@@ -34,6 +35,12 @@ def saved_run(spark, folder) -> str:
         trained = models.train_store_models(data)
         trained.save(spark, path)
         models.test_predictions(trained, data).write.parquet(f"{path}/test_predictions")
+        daily = t.labelled_daily(spark, folder)
+        model, scored = models.train_daily_total(daily)
+        model.save(spark, f"{path}/{models.DAILY_MODEL}")
+        scored.select("ds", "split", F.lit(models.DAILY_MODEL).alias("model"), "y", "yhat").write.parquet(f"{path}/daily_predictions")
+        sizes = [rows.groupBy("split").agg(F.count("*").alias("rows")).select(F.lit(level).alias("forecast_level"), "split", "rows") for level, rows in (("store_level", data.rows), ("daily_total", daily))]
+        sizes[0].unionByName(sizes[1]).coalesce(1).write.parquet(f"{path}/sizes")
         _SAVED[key] = path
     return _SAVED[key]
 
@@ -81,6 +88,40 @@ def tree_nodes(spark, folder):
     return _saved_parts(spark, folder, "nodes")
 
 
+@query("O10.11 O9.4")
+def training_run_metrics(spark, folder):
+    """Test metrics of all models of one run, with their level and the rows that they were trained and tested on."""
+    run = saved_run(spark, folder)
+    stores = spark.read.parquet(f"{run}/test_predictions").select("model", "y", "yhat")
+    days = spark.read.parquet(f"{run}/daily_predictions").where("split = 'test'").select("model", "y", "yhat")
+    scored = registry.canonicalise(metrics.metric_rows(stores.unionByName(days), ["model"]).withColumnRenamed("model", "model_key"))
+    sizes = spark.read.parquet(f"{run}/sizes").groupBy("forecast_level").pivot("split", ["train", "validation", "test"]).agg(F.first("rows"))
+    return scored.join(F.broadcast(sizes), "forecast_level").select("model_key", "forecast_level", "mae", "rmse", "mape", "r2", "train", "validation", "test")
+
+
+@query("O9.2 O10.11")
+def best_trained_models(spark, folder):
+    """The best model of each level, by the run's own test errors."""
+    return registry.best_by_level(registry.canonicalise(training_run_metrics(spark, folder).select("model_key", "rmse")))
+
+
+@query("O10.11", f"""WITH {t.LABELLED_DAILY_SQL} SELECT 'daily_total' AS forecast_level, split, count(*) AS rows FROM labelled GROUP BY split""")
+def daily_run_sizes(spark, folder):
+    """Days of each split of the run."""
+    return spark.read.parquet(f"{saved_run(spark, folder)}/sizes").where("forecast_level = 'daily_total'")
+
+
+@query("O10.13 O1.13 O1.12")
+def forecasts_by_name(spark, folder):
+    """30 days by every registered model, each loaded by its name and at its own level."""
+    run, history = saved_run(spark, folder), t.stored_store_days(spark, folder)
+    future = forecast.future_rows(history, 30)
+    weights = models.TrainedStoreModels.load(spark, run).models
+    names = [f"{m}_store_level" for m in weights] + ["ensemble_store_level", models.DAILY_MODEL]
+    found = [models.forecast_named(spark, run, name, history, future, 30) for name in names]
+    return reduce(lambda a, b: a.unionByName(b), found)
+
+
 @query("O10.5")
 def tree_search(spark, folder):
     """50 trials for each tree model, in its own space: setting, how it ended, trees kept and the least validation error."""

@@ -113,6 +113,16 @@ def test_store_models_end_to_end(spark, tmp_path):
     assert all(math.isclose(r["lower_bound"], r["predicted_sales"] * 0.9) for r in rows)
     w = trained.weights
     assert all(math.isclose(r["predicted_sales"], w["xgboost"] * r["yhat_xgboost"] + w["lightgbm"] * r["yhat_lightgbm"]) for r in rows)
+    daily, _ = models.train_daily_total(models.labelled_daily_totals(history))
+    daily.save(spark, str(tmp_path / "m" / models.DAILY_MODEL))
+    future = forecast.future_rows(history, 5)
+    by_name = {n: models.forecast_named(spark, str(tmp_path / "m"), n, history, future, 5).orderBy("store_id", "date").collect() for n in ("xgboost", "lightgbm_store_level", "ensemble_store_level", "prophet_daily_total")}
+    for name, column in (("xgboost", "yhat_xgboost"), ("lightgbm_store_level", "yhat_lightgbm"), ("ensemble_store_level", "predicted_sales")):
+        assert [r["predicted_sales"] for r in by_name[name]] == [r[column] for r in rows]
+    totals = by_name["prophet_daily_total"]
+    assert len(totals) == 5 and all(r["store_id"] is None and math.isclose(r["lower_bound"], r["predicted_sales"] * 0.9) for r in totals)
+    with pytest.raises(ValueError, match="Unknown model 'x'. Known models: ensemble_store_level, lightgbm_store_level, prophet_daily_total, xgboost_store_level"):
+        models.forecast_named(spark, str(tmp_path / "m"), "x", history, future, 5)
     top = reports.top_importances(models.importances(loaded.models["xgboost"], loaded.features, "a", spark), 3)
     assert top.count() == 3
 
