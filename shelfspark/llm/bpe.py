@@ -217,7 +217,7 @@ def _worker(name: str) -> tuple[Encoder, tokens.Units]:
         import public_tokenizers
 
         encoder = Encoder(public_tokenizers.path(name))
-        _workers[name] = encoder, tokens.Units(encoder.units)
+        _workers[name] = encoder, tokens.Units(encoder.units, kind=np.uint16 if len(encoder.bytes.counts) <= 1 << 16 else np.int32)
     return _workers[name]
 
 

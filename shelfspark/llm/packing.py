@@ -220,7 +220,7 @@ def _vocabulary(name: str) -> tokens.Units:
                 counts, flat = np.array([len(x) for x in parts]), np.concatenate(parts)
             return flat, counts
 
-        _units[name] = tokens.Units(encode)
+        _units[name] = tokens.Units(encode, kind=np.uint16 if tokenizer.get_vocab_size() <= 1 << 16 else np.int32)
     return _units[name]
 
 

@@ -24,19 +24,20 @@ def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
 class Units:
     """Ids of units seen, in a table of ``2**bits`` places of which each holds the last unit that fell on it.
 
-    A unit's place follows from its hash. Two independent 64-bit hashes of its bytes must agree for it to be found. A unit
-    that has lost its place is encoded again when it comes back, so frequent units are held nearly always. Units of more
+    A unit's place follows from its hash. 64 bits of this hash and 32 bits of an independent one, both of its bytes, must agree
+    for it to be found. A unit that has lost its place is encoded again when it comes back, so frequent units are held nearly always. Units of more
     than ``LONG`` ids are not held, which bounds the table's memory.
     """
 
     LONG = 32
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 20):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], bits: int = 20, kind: type = np.int32):
+        """``kind`` holds an id: ``np.uint16`` for vocabularies of up to 65,536 ids."""
         self.encode, self.mask = encode, np.uint64((1 << bits) - 1)
         size = 1 << bits
-        self.keys, self.checks = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-        self.starts, self.counts = np.zeros(size, np.int32), np.full(size, -1, np.int32)
-        self.flat = np.zeros(6 * size, np.int32)
+        self.keys, self.checks = np.zeros(size, np.uint64), np.zeros(size, np.uint32)
+        self.starts, self.counts = np.zeros(size, np.int32), np.full(size, -1, np.int8)
+        self.flat = np.zeros(6 * size, kind)
         self.used = 0
 
     def _compact(self, needed: int) -> None:
@@ -48,13 +49,14 @@ class Units:
         ids = gathered(self.flat, self.starts[live].astype(np.int64), counts)
         self.used = len(ids)
         size = max(6 * len(self.keys), 2 * self.used) + needed
-        self.flat = np.zeros(size, np.int32)
+        self.flat = np.zeros(size, self.flat.dtype)
         self.flat[: self.used] = ids
         self.starts[live] = np.cumsum(counts) - counts
 
     def find(self, hashes: np.ndarray, checks: np.ndarray, spell: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Place in ``flat`` and number of ids of each unit; ``spell`` gives the bytes of unit i."""
         slot = (hashes & self.mask).astype(np.int64)
+        checks = (checks >> np.uint64(32)).astype(np.uint32)
         known = (self.keys[slot] == hashes) & (self.checks[slot] == checks) & (self.counts[slot] >= 0)
         new = np.flatnonzero(~known)
         if not len(new):
