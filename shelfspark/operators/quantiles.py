@@ -9,10 +9,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfspark.operators.joins import sized
+from shelfspark.session import shared_folder
 
-ACCURACY = 10_000
-FINEST = 1_000_000
-BRACKETED_ROWS = 5_000_000
+BINS = 4096
+# A cell with at most so many rows is counted value by value.
+COUNTED_ROWS = 1_000_000
 
 
 def exact_quantiles(
@@ -20,102 +21,117 @@ def exact_quantiles(
     groups: Sequence[str],
     columns: Sequence[str],
     probabilities: Mapping[str, float],
-    accuracy: int = ACCURACY,
+    bins: int = BINS,
 ) -> DataFrame:
     """(groups, column, n, one quantile per name) of each numeric column, nulls left out.
 
-    The built-in ``percentile`` merges all distinct values of a group in one task. This works in
-    two passes instead. First a mergeable sketch brackets each wanted rank to about 2/accuracy of
-    the rows on either side. Then every value is either inside a bracket, and is counted by
-    value, or in a gap between brackets, and only adds to the gap's count, minimum and maximum.
-    Running counts over these few rows give the exact ranks; a wanted rank lies inside a bracket
-    or on the edge of a gap. Quantiles are interpolated linearly between ranks.
+    The built-in ``percentile`` merges all distinct values of a group in one task, a sketch one
+    digest of every map task. Here the values of a group lie in cells, at first one from minimum
+    to maximum. A round deals the values of each cell to bins whose counts are added up like those
+    of any other key, and keeps as cells the bins that hold a wanted rank, cut to the values in
+    them. It is repeated while a cell of unlike values has more than COUNTED_ROWS rows; then the
+    few values left in cells are counted one by one. Only cells, at most two for each
+    probability, are kept between rounds. NaN is the greatest value. Quantiles are interpolated
+    linearly between ranks.
     """
-    margin = 2.0 / accuracy
-    marks: list[float] = []
-    for p in probabilities.values():
-        marks += [max(0.0, p - margin), min(1.0, p + margin)]
     group_names = [*groups] if groups else ["_all"]
     source = df if groups else df.withColumn("_all", F.lit(0))
-    rows = source.select(*group_names, *[F.col(c).cast("double").alias(f"_v{i}") for i, c in enumerate(columns)])
-    values = [f"_v{i}" for i in range(len(columns))]
-
-    def sketch(at: int) -> DataFrame:
-        marks: list[float] = []
-        for p in probabilities.values():
-            marks += [max(0.0, p - 2.0 / at), min(1.0, p + 2.0 / at)]
-        return sized(
-            rows.groupBy(*group_names).agg(
-                F.count("*").alias("_size"),
-                *[F.percentile_approx(v, marks, at).alias(f"_m{i}") for i, v in enumerate(values)],
-            )
+    # Adding zero makes minus zero and zero the same value.
+    rows = source.select(*group_names, *[(F.col(c).cast("double") + F.lit(0.0)).alias(f"_v{i}") for i, c in enumerate(columns)])
+    wide = range(len(columns))
+    names = F.array(*[F.lit(c) for c in columns])
+
+    def rank(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("_n") - 1)
+
+    ranks = [edge(rank(p)) for p in probabilities.values() for edge in (F.floor, F.ceil)]
+
+    def in_cells(cells: DataFrame, most: int) -> DataFrame:
+        """(groups, _i, _n, _value, _cell) of the values of column number _i inside cells, of which a group has at most ``most``."""
+        left = rows.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_names)})
+        same = [left[f"_g{i}"].eqNullSafe(cells[g]) for i, g in enumerate(group_names)]
+        structs = []
+        for i in wide:
+            value = F.col(f"_v{i}")
+            cell = [F.get(f"_c{i}", F.lit(k)) for k in range(most)]
+            holds = F.coalesce(*[F.when(value.between(c["low"], c["high"]), c) for c in cell])
+            structs.append(F.struct(F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n"), value.alias("_value"), holds.alias("_cell")))
+        return left.join(sized(cells), same).select(*group_names, F.inline(F.array(*structs))).where("_cell is not null")
+
+    def ranked(counted: DataFrame, order: str) -> DataFrame:
+        """``counted`` with the ranks from ``_from`` to below ``_through`` that its rows hold."""
+        cell = W.partitionBy(*group_names, "_i", "_before").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+        through = F.col("_before") + F.sum("_rows").over(cell)
+        return counted.withColumn("_through", through).withColumn("_from", through - F.col("_rows"))
+
+    def holds(r: Column) -> Column:
+        return (r >= F.col("_from")) & (r < F.col("_through"))
+
+    def narrowed(cells: DataFrame, most: int) -> DataFrame:
+        place = _bin(F.col("_value"), F.col("_cell.low"), F.col("_cell.high"), bins)
+        keys = [*group_names, "_i", "_n", F.col("_cell.before").alias("_before"), place.alias("_bin")]
+        counted = in_cells(cells, most).groupBy(*keys).agg(
+            F.min("_value").alias("_least"), F.max("_value").alias("_most"), F.count("*").alias("_rows")
+        )
+        wanted = F.lit(False)
+        for r in ranks:
+            wanted = wanted | holds(r)
+        cell = F.struct(F.col("_least").alias("low"), F.col("_most").alias("high"), F.col("_from").alias("before"), F.col("_rows").alias("rows"))
+        found = ranked(counted, "_least").where(wanted)
+        own = [(F.when(F.col("_i") == i, cell), F.when(F.col("_i") == i, F.col("_n"))) for i in wide]
+        return found.groupBy(*group_names).agg(
+            *[F.max(n).alias(f"_n{i}") for i, (_, n) in enumerate(own)], *[F.collect_list(c).alias(f"_c{i}") for i, (c, _) in enumerate(own)]
         )
 
-    brackets = sketch(accuracy)
-    largest = brackets.agg(F.max("_size").alias("n")).first()["n"] or 0
-    needed = min(FINEST, 4 * largest // BRACKETED_ROWS)
-    if needed > accuracy:
-        brackets = sketch(needed)
-    left = rows.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_names)})
-    same = [left[f"_g{i}"].eqNullSafe(brackets[g]) for i, g in enumerate(group_names)]
-    placed = left.join(brackets, same).select(
-        *group_names,
-        F.inline(
-            F.array(*[_placed(i, c, len(probabilities)) for i, c in enumerate(columns)])
-        ),
-    )
-    counted = (
-        placed.where(F.col("_value").isNotNull())
-        .withColumn("_key", F.when(F.col("_inside"), F.col("_value")))
-        .groupBy(*group_names, "column", "_gap", "_inside", "_key")
-        .agg(F.count("*").alias("_rows"), F.min("_value").alias("_least"), F.max("_value").alias("_most"))
-    )
-    within = W.partitionBy(*group_names, "column")
-    through = F.sum("_rows").over(within.orderBy("_least").rowsBetween(W.unboundedPreceding, 0))
-    ranked = counted.select(
-        *group_names,
-        "column",
-        "_least",
-        "_most",
-        through.alias("_through"),
-        (through - F.col("_rows")).alias("_from"),
-        F.sum("_rows").over(within).alias("n"),
+    def widest(cells: DataFrame) -> int:
+        """Rows of the largest cell of unlike values."""
+        sizes = [F.array_max(F.transform(F.filter(f"_c{i}", lambda c: c["low"] < c["high"]), lambda c: c["rows"])) for i in wide]
+        return cells.agg(F.max(F.array_max(F.array(*sizes))).alias("n")).first()["n"] or 0
+
+    values = [F.col(f"_v{i}") for i in wide]
+    whole = [F.struct(F.min(v).alias("low"), F.max(v).alias("high"), F.lit(0).cast("long").alias("before"), F.count(v).alias("rows")) for v in values]
+    cells = rows.groupBy(*group_names).agg(
+        *[F.count(v).alias(f"_n{i}") for i, v in enumerate(values)], *[F.array(c).alias(f"_c{i}") for i, c in enumerate(whole)]
     )
+    shared_folder(df.sparkSession)
+    cells, most = cells.checkpoint(), 1
+    while widest(cells) > COUNTED_ROWS:
+        cells, most = narrowed(cells, most).checkpoint(), len(ranks)
+
+    keys = [*group_names, "_i", "_n", F.col("_cell.before").alias("_before"), "_value"]
+    counted = ranked(in_cells(cells, most).groupBy(*keys).agg(F.count("*").alias("_rows")), "_value")
+    found = counted.groupBy(*group_names, "_i", "_n").agg(*[F.max(F.when(holds(r), F.col("_value"))).alias(f"_r{k}") for k, r in enumerate(ranks)])
+    out: list[Column] = []
+    for k, (name, p) in enumerate(probabilities.items()):
+        low, high = F.col(f"_r{2 * k}"), F.col(f"_r{2 * k + 1}")
+        part = rank(p) - F.floor(rank(p))
+        out.append(F.when(part > 0, low + part * (high - low)).otherwise(low).alias(name))
+    return found.select(*groups, F.get(names, F.col("_i")).alias("column"), F.col("_n").alias("n"), *out)
 
-    def at(rank: Column) -> Column:
-        found = F.when(rank == F.col("_from"), F.col("_least")).when(
-            (rank > F.col("_from")) & (rank < F.col("_through")), F.col("_most")
-        )
-        return F.max(found)
 
-    parts: list[Column] = []
-    for i, p in enumerate(probabilities.values()):
-        rank = F.lit(float(p)) * (F.col("n") - 1)
-        parts += [at(F.floor(rank)).alias(f"_a{i}"), at(F.ceil(rank)).alias(f"_b{i}")]
-    result = ranked.groupBy(*group_names, "column", "n").agg(*parts)
-    out: list[Column] = []
-    for i, (name, p) in enumerate(probabilities.items()):
-        rank = F.lit(float(p)) * (F.col("n") - 1)
-        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
-        out.append((a + (rank - F.floor(rank)) * (b - a)).alias(name))
-    return result.select(*groups, "column", "n", *out)
-
-
-def _placed(i: int, column: str, brackets: int) -> Column:
-    """Where a value lies: inside a bracket, or in the gap after so many brackets."""
-    value, marks = F.col(f"_v{i}"), F.col(f"_m{i}")
-    inside = F.lit(False)
-    gap = F.lit(0)
-    for q in range(brackets):
-        low, high = marks[2 * q], marks[2 * q + 1]
-        inside = inside | value.between(low, high)
-        gap = gap + (value > high).cast("int")
-    return F.struct(
-        F.lit(column).alias("column"),
-        value.alias("_value"),
-        inside.alias("_inside"),
-        F.when(~inside, gap).alias("_gap"),
+def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
+    """A number that never falls as ``value`` rises from ``low`` to ``high``.
+
+    Both ends have bins of their own, so that each round leaves fewer values. Between them widths
+    are equal on a logarithmic scale where the ends are far apart, else on a plain one; a cell
+    around zero is halved there first. So a handful of rounds reaches any double.
+    """
+    top = F.when(F.isnan(high), F.lit(float("inf"))).otherwise(high)
+
+    def logarithmic(x: Column, a: Column, b: Column) -> Column:
+        return (F.ln(x) - F.ln(a)) / (F.ln(b) - F.ln(a))
+
+    around_zero = F.when(value < 0, (1 - value / low) / 2).otherwise((1 + value / top) / 2)
+    plain = (value / 2 - low / 2) / F.nullif(top / 2 - low / 2, F.lit(0.0))
+    share = (
+        F.when((low < 0) & (top > 0), around_zero)
+        .when((low > 0) & (top / 4 > low), logarithmic(value, low, top))
+        .when((top < 0) & (low / 4 < top), 1 - logarithmic(-value, -top, -low))
+        .otherwise(plain)
     )
+    # Without a number: infinity over infinity, beyond all finite values, or a width below the least double.
+    inner = F.when(F.isnan(share), F.lit(bins - 1)).otherwise(F.coalesce(F.least(F.floor(share * bins), F.lit(bins - 1)), F.lit(0)))
+    return F.when(value == low, F.lit(-1)).when(value == high, F.lit(bins)).otherwise(inner).cast("int")
 
 
 def unpivot_numbers(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Ranks, quantiles, cuts and ungrouped windows with hot groups, against brute force."""
 
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -26,12 +27,12 @@ def skewed(n=3000, seed=1):
 PROBS = {"lo": 0.0, "q1": 0.25, "med": 0.5, "p77": 0.77, "hi": 1.0}
 
 
-@pytest.mark.parametrize("accuracy, bracketed", [(5, 10**6), (20, 10**6), (100, 10**6), (10_000, 10**6), (20, 50)])
-def test_exact_quantiles(spark, monkeypatch, accuracy, bracketed):
-    monkeypatch.setattr(quantiles, "BRACKETED_ROWS", bracketed)
+@pytest.mark.parametrize("bins, counted", [(3, 20), (16, 100), (4096, 20), (4096, 10**6), (2, 1)])
+def test_exact_quantiles(spark, monkeypatch, bins, counted):
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", counted)
     rows = skewed()
     df = spark.createDataFrame(rows, "id long, g string, v double").withColumn("w", F.col("v") * 2 + 1)
-    out = quantiles.exact_quantiles(df, ["g"], ["v", "w"], PROBS, accuracy=accuracy).toPandas()
+    out = quantiles.exact_quantiles(df, ["g"], ["v", "w"], PROBS, bins=bins).toPandas()
     pdf = pd.DataFrame(rows, columns=["id", "g", "v"]).dropna(subset=["v"])
     pdf["g"] = pdf["g"].fillna("<null>")
     out["g"] = out["g"].astype(object).where(out["g"].notna(), "<null>")
@@ -52,6 +53,43 @@ def test_exact_quantiles_of_few_values_and_whole_frame(spark):
     assert [(r["n"], r["q"]) for r in one] == [(1, 4.0)]
 
 
+def far_apart(seed=4):
+    """Doubles of every size and sign, neighbours, ties and values without a size."""
+    rng = random.Random(seed)
+    sizes = [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-320, 308) for _ in range(400)]
+    near = [1.0 + k * 2.0**-52 for k in range(100)] + [k * 5e-324 for k in range(-30, 30)]
+    return {
+        "all": sizes + near + [0.0, -0.0, 7.0, 7.0, float("inf"), float("-inf"), float("inf")],
+        "one": [3.5] * 500,
+        "negative": [-abs(x) for x in sizes if x],
+        "nan": [abs(x) for x in sizes[:50]] + [float("inf"), float("nan"), float("nan")],
+        "mixed nan": sizes[:60] + [float("-inf"), float("nan")],
+    }
+
+
+@pytest.mark.parametrize("bins", [2, 64])
+def test_exact_quantiles_of_any_double(spark, monkeypatch, bins):
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", 10)
+    groups = far_apart()
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double").repartition(6)
+    rows = quantiles.exact_quantiles(df, ["g"], ["v"], PROBS, bins=bins).collect()
+    assert {r["g"] for r in rows} == set(groups)
+    for r in rows:
+        values = sorted((v + 0.0 for v in groups[r["g"]]), key=lambda v: (math.isnan(v), v))
+        for name, p in PROBS.items():
+            place = p * (len(values) - 1)
+            low, high = values[math.floor(place)], values[math.ceil(place)]
+            part = place - math.floor(place)
+            want = low + part * (high - low) if part > 0 else low
+            assert r[name] == want or math.isnan(want) and math.isnan(r[name]), (r["g"], name)
+
+
+def test_exact_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([("a", None)], "g string, v double")
+    assert quantiles.exact_quantiles(df, ["g"], ["v"], {"q": 0.5}).collect() == []
+    assert quantiles.exact_quantiles(df.where("false"), [], ["v"], {"q": 0.5}).collect() == []
+
+
 def test_grouped_rank(spark):
     rows = skewed()
     df = spark.createDataFrame(rows, "id long, g string, v double").repartition(7)
