@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 
 PARTS = ("year", "month", "day")
 ROWS_PER_FILE = 5_000_000
-BYTES_PER_TASK = 256 << 20
-MOST_TASKS = 1_000_000
+ROWS_PER_TASK = 1_000_000
+
+
+def write_tasks(df: DataFrame) -> int:
+    """One task for so many rows, and no fewer than there are cores. Rows are counted: the estimated bytes of a join are the
+    product of its sides, which would be thousands of tasks for a table of some megabytes."""
+    return max(-(-df.count() // ROWS_PER_TASK), df.sparkSession.sparkContext.defaultParallelism)
 
 
 def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str = "date") -> str:
@@ -20,12 +25,9 @@ def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str
 
     The rows are range-partitioned by date and a hash of the row, so that neighbouring days share
     a task while one very large day is spread over several tasks (and files). The number of tasks
-    follows from the input's estimated bytes; small tables take one task a core, as one task would
-    otherwise write them day after day.
+    follows from the input's rows; small tables take one task a core, as one task would otherwise
+    write them day after day.
     """
-    spark = df.sparkSession
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    tasks = min(max(size // BYTES_PER_TASK, spark.sparkContext.defaultParallelism), MOST_TASKS)
     path = f"{folder.rstrip('/')}/{kind}"
     day = F.to_date(date_col)
     spread = F.xxhash64(*df.columns)
@@ -33,7 +35,7 @@ def write_daily_partitions(df: DataFrame, folder: str, kind: str, date_col: str
         df.withColumn("year", F.year(day).cast("string"))
         .withColumn("month", F.lpad(F.month(day).cast("string"), 2, "0"))
         .withColumn("day", F.lpad(F.dayofmonth(day).cast("string"), 2, "0"))
-        .repartitionByRange(tasks, *PARTS, spread)
+        .repartitionByRange(write_tasks(df), *PARTS, spread)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*PARTS)

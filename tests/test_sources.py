@@ -27,6 +27,16 @@ def test_daily_partitions(spark, tmp_path):
     assert named.where(daily.path_date(F.col("file_path")) != F.col("date")).count() == 0
 
 
+def test_tasks_follow_rows_and_not_the_estimate_of_a_join(spark, tmp_path, monkeypatch):
+    spark.range(200_000).selectExpr("date_add(date '2024-01-01', int(id % 3)) AS date", "id % 50000 AS k").write.parquet(str(tmp_path / "rows"))
+    spark.range(50_000).selectExpr("id AS k", "concat('s', id) AS store_id").write.parquet(str(tmp_path / "stores"))
+    joined = spark.read.parquet(str(tmp_path / "rows")).join(spark.read.parquet(str(tmp_path / "stores")), "k", "left")
+    path = daily.write_daily_partitions(joined, str(tmp_path), "sales")
+    assert len(glob.glob(f"{path}/*/*/*/*.parquet")) <= spark.sparkContext.defaultParallelism + 2
+    monkeypatch.setattr(daily, "ROWS_PER_TASK", 10_000)
+    assert daily.write_tasks(joined) == 20
+
+
 def test_pruning_of_daily_partitions(spark, tmp_path):
     path = daily.write_daily_partitions(sample(spark), str(tmp_path), "sales")
     plan = spark.read.parquet(path).where("year = 2024 AND month = 1 AND day = 2")._jdf.queryExecution().executedPlan().toString()
