@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.operators import file_batch
+from shelfspark.plans import storage
 from shelfspark.sources import daily
 
 COLUMNS = ["date", "store_id", "sales", "customer_traffic", "has_promotion", "is_open", "is_holiday"]
@@ -101,3 +102,17 @@ def test_no_file_is_loaded_whole(spark, tmp_path):
     assert [i for i in issues if i[1] == "file_read"] == [("2024-01-02", "file_read", None, None)]
     assert files["2024-01-01"].rows == 2 and files["2024-01-02"].rows == 0 and summary.total_rows == 2
     assert "content" not in plan and "InArrow" not in plan
+
+
+def test_a_sound_file_without_rows_is_not_unreadable(spark):
+    """The events are one row group in the middle of the file, so the first of several tasks writes a file without rows."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "4096")
+        got = storage.unreadable_files(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        for n, value in zip(names, before):
+            spark.conf.set(n, value)
+    assert [(r.check, r.files, r.readable_rows) for r in got] == [("file_read", 3, spark.read.parquet("/root/testdata/sf0.001/events.parquet").count())]
