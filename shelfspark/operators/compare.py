@@ -14,6 +14,8 @@ from shelfspark import config
 METRICS = ("mae", "rmse", "mape", "r2")
 KEEP = "keep Prophet as a useful daily-total model"
 WEAK = "treat Prophet only as a weak daily-total baseline"
+# Relative difference up to which two metrics are the same.
+SAME = 1e-9
 
 
 def add_seasonal_comparison(metrics: DataFrame, baseline: str = config.SEASONAL_BASELINE) -> DataFrame:
@@ -130,11 +132,14 @@ def verdict_lines(verdict: DataFrame) -> DataFrame:
 
 
 def metric_comparison(metrics: DataFrame, key: str = "model") -> DataFrame:
-    """(metric, model, value, is_best): lower is better but for R squared."""
+    """(metric, model, value, is_best): lower is better but for R squared.
+
+    All models that are as good as the best are best: equal predictions give metrics that differ in their last bits, as
+    sums run in any order.
+    """
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])
     long = metrics.select(key, F.inline(pairs))
     score = F.when(F.col("metric") == "r2", -F.col("value")).otherwise(F.col("value"))
-    rank = F.rank().over(W.partitionBy("metric").orderBy(score.asc_nulls_last()))
-    return long.select(
-        "metric", key, "value", ((rank == 1) & F.col("value").isNotNull()).alias("is_best")
-    )
+    best = F.min(score).over(W.partitionBy("metric"))
+    near = F.when(F.abs(best) < float("inf"), score - best <= F.abs(best) * SAME).otherwise(score == best)
+    return long.select("metric", key, "value", F.coalesce(near, F.lit(False)).alias("is_best"))

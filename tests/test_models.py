@@ -270,3 +270,10 @@ def test_quantile_points(spark):
     assert [r["sample"] for r in rows] == [1.0, 2.0, 3.0, 4.0, 5.0]
     assert rows[2]["theoretical"] == pytest.approx(0.0, abs=1e-9)
     assert rows[4]["theoretical"] == pytest.approx(1.1289, abs=1e-3) and rows[0]["theoretical"] == pytest.approx(-rows[4]["theoretical"])
+
+
+def test_equal_models_are_best_whatever_the_last_bits_of_their_metrics(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [("a", 0.1 + 0.2, 2.0, nan, 0.9), ("b", 0.3, 2.0 + 1e-6, nan, 0.9 - 1e-16), ("c", None, 3.0, inf, -inf)]
+    got = compare.metric_comparison(spark.createDataFrame(rows, "model string, mae double, rmse double, mape double, r2 double")).where("is_best").collect()
+    assert sorted((r.metric, r.model) for r in got) == [("mae", "a"), ("mae", "b"), ("mape", "c"), ("r2", "a"), ("r2", "b"), ("rmse", "a")]
