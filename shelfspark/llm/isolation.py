@@ -4,7 +4,7 @@ A rule statistic is by how much a share (of symbols, capitals, repeated lines ..
 show, with a margin; within that tolerance it is zero, so ordinary documents are alike in all of them and odd ones stand apart.
 Random splits isolate odd rows early. Each tree splits a subsample of labelled documents at random values of random
 statistics; the mean path length of a document over all trees gives its anomaly score, 2 ** (-path / expected path).
-Tolerances and threshold come from labelled rows: the threshold is the lowest score that at most ``most_lost`` of the
+Tolerances and threshold come from all labelled rows: the threshold is the lowest score that at most ``most_lost`` of the
 good ones exceed.
 """
 
@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import textstats
-from shelfspark.llm.storage import text_batches
+from shelfspark.llm.storage import dropped, stored, text_batches
+from shelfspark.operators.quantiles import exact_quantiles
 
-TRAIN_ROWS = 20_000
 RULES = ("symbols", "upper", "marks", "bars", "dup_lines", "repeats")
 LEAST_WORDS = 10
 MOST_REPEATS = 20
@@ -33,7 +33,6 @@ class Settings:
     most_lost: float = 0.002
     margin: float = 1.5
     tolerated: float = 0.999
-    train_rows: int = TRAIN_ROWS
     seed: int = 7
 
 
@@ -108,25 +107,39 @@ def base_fails(n_words, n_repeat_words):
     return (n_words < LEAST_WORDS) | (100 * n_repeat_words > MOST_REPEATS * n_words)
 
 
+def _scored(forest: Forest, tolerance: np.ndarray):
+    """Anomaly scores of arrays of ``textstats.SHAPES``, as a function of an Arrow column."""
+
+    def score(shapes: pa.Array) -> pa.Array:
+        values = np.asarray(shapes.flatten()).reshape(len(shapes), len(textstats.SHAPES))
+        return pa.array(anomaly(forest, excess(values, tolerance)))
+
+    return score
+
+
 def fitted(documents: DataFrame, labels: DataFrame, how: Settings = Settings()) -> Forest:
-    """A forest and its threshold from at most ``how.train_rows`` labelled documents (statistics only come to the driver).
+    """A forest and its threshold from all labelled documents.
 
-    Rows that fail the base rules teach nothing. Without good rows the forest keeps everything.
+    Rows that fail the base rules teach nothing. Without good rows the forest keeps everything. One half of the rows sets
+    tolerances and grows the trees, the other sets the threshold. To the driver come quantiles and the rows that trees
+    are grown on, ``how.sample`` for each, as the method has it.
     """
-    rows = textstats.labelled(documents, labels, how.train_rows).withColumn("m", textstats.measured(F.col("text")))
-    got = rows.select("doc_id", "quality", "m.n_words", "m.n_repeat_words", "m.shapes").collect()
-    got = sorted(r for r in got if not base_fails(r.n_words, r.n_repeat_words))
-    shapes = np.array([r.shapes for r in got]).reshape(len(got), len(textstats.SHAPES))
-    good = np.array([r.quality == 1 for r in got], bool)
-    # One half of the rows sets tolerances and grows the trees, the other sets the threshold.
-    half = np.arange(len(got)) % 2 == 0
-    none = np.zeros(len(RULES))
-    if not (good & half).any() or not (good & ~half).any():
+    rows = textstats.labelled_shapes(documents, labels).where(~base_fails(F.col("n_words"), F.col("n_repeat_words")))
+    rows = stored(rows.select("doc_id", "quality", "shapes", (F.pmod(F.xxhash64("doc_id", F.lit(how.seed)), F.lit(2)) == 0).alias("half")), "labelled-shapes")
+    good = rows.where("quality = 1")
+    sizes = {r["half"]: r["count"] for r in good.groupBy("half").count().collect()}
+    if len(sizes) < 2:
         return grown(np.zeros((0, len(RULES))), how)
-    tolerance = how.margin * np.quantile(excess(shapes[good & half], none), how.tolerated, axis=0)
-    forest = grown(excess(shapes[half], tolerance), how)
-    scores = anomaly(forest, excess(shapes[good & ~half], tolerance))
-    return replace(forest, tolerance=tolerance, threshold=float(np.quantile(scores, 1 - how.most_lost, method="higher")))
+    shares = good.where("half").select(*[F.greatest(F.lit(0.0), F.col("shapes")[textstats.SHAPES.index(r)]).alias(r) for r in RULES])
+    found = {r["column"]: r["most"] for r in exact_quantiles(shares, [], RULES, {"most": how.tolerated}).collect()}
+    tolerance = how.margin * np.array([found[r] for r in RULES])
+    drawn = rows.where("half").orderBy(F.xxhash64("doc_id"), "doc_id").limit(how.trees * how.sample).select("shapes").collect()
+    forest = grown(excess(np.array([r.shapes for r in drawn]), tolerance), how)
+    scores = good.where("not half").select(F.arrow_udf(_scored(forest, tolerance), "double")("shapes").alias("score"))
+    lost = int(how.most_lost * (sizes[False] - 1)) + 1
+    threshold = scores.orderBy(F.desc("score")).limit(lost).agg(F.min("score")).first()[0]
+    dropped(rows)
+    return replace(forest, tolerance=tolerance, threshold=float(threshold))
 
 
 def judged(df: DataFrame, forest: Forest) -> DataFrame:

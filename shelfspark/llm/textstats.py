@@ -115,15 +115,25 @@ def measured(text: Column) -> Column:
     return F.arrow_udf(_column, TYPE)(text.cast("string"))
 
 
+def labels_of(labels: DataFrame, where: Column | None = None) -> DataFrame:
+    """(doc_id, quality), one row a document. Labels that are neither 0 nor 1 are left out; of both, 0 counts."""
+    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    ids = ids.where("doc_id is not null and quality in (0, 1)" if where is None else where & F.expr("doc_id is not null and quality in (0, 1)"))
+    return ids.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+
+
+def labelled_shapes(documents: DataFrame, labels: DataFrame, where: Column | None = None) -> DataFrame:
+    """(doc_id, quality, COUNTS, shapes) of all labelled documents. Statistics are joined with labels, texts stay where they are."""
+    rows = text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), measured(F.col("text")).alias("m"))
+    return rows.select("doc_id", "m.*").join(labels_of(labels, where), "doc_id")
+
+
 def labelled(documents: DataFrame, labels: DataFrame, most: int, where: Column | None = None) -> DataFrame:
     """(doc_id, quality, text) of at most ``most`` labelled documents: those whose doc_id has the least hashes.
 
     Only ids are sorted, and only they are sent to the tasks: 16 bytes each. Labels that are neither 0 nor 1 are left
     out; of a document with both, 0 counts.
     """
-    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    ids = ids.where("doc_id is not null and quality in (0, 1)" if where is None else where & F.expr("doc_id is not null and quality in (0, 1)"))
-    ids = ids.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    ids = labels_of(labels, where).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     rows = text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.join(F.broadcast(ids), "doc_id")

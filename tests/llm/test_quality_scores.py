@@ -103,3 +103,13 @@ def test_held_out_labels_teach_nothing(spark, documents, labels):
 
 def test_schema_of_odd_rows(odd):
     assert SCHEMA.count(",") + 1 == len(odd.columns)
+
+
+def test_all_labelled_rows_set_tolerances_and_threshold(spark, monkeypatch):
+    """More labelled rows than were ever taken: of 24,000, half of the good ones less a share of 0.002 lie within the threshold."""
+    rows = spark.range(24_000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 12 + int(id % 40)), x -> concat('w', x, '-', id % 97))) AS text", "int(id % 8 <> 0) AS quality")
+    forest = isolation.fitted(rows, rows)
+    seen = textstats.labelled_shapes(rows, rows)
+    assert seen.count() == 24_000 and seen.where("quality = 1").count() == 21_000
+    kept = isolation.judged(rows, forest).where("kept").join(rows.where("quality = 1").select("doc_id"), "doc_id").count()
+    assert kept >= 0.995 * 21_000
