@@ -4,13 +4,19 @@ A document's strength is a linear function of its features; of a pair, the bette
 probability of the difference of strengths. Weights minimise the logistic loss over preference pairs of a document
 labelled 1 and one labelled 0, on their feature differences, with a ridge penalty, by Newton steps.
 
-The cut is a quantile: strengths below the share of zeros among the training rows are predicted 0. A score is the
+All labelled rows are learned from. They are dealt to blocks of about ``block_rows``, and a block gives all pairs of its
+rows; up to ``block_rows`` rows give all pairs there are. Rows of a rare label go to as many blocks as it takes for each
+to have some. A step is one job that sums gradients and curvatures over the blocks: what comes to the driver is one row a
+task, whatever the number of rows.
+
+The cut is an exact quantile: strengths below the share of zeros among the training rows are predicted 0. A score is the
 logistic of the strength around the cut, shifted so that the cut itself scores ``at_cut``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +24,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import textstats
-from shelfspark.llm.storage import text_batches
+from shelfspark.llm.storage import dropped, stored, text_batches
+from shelfspark.operators.quantiles import exact_quantiles
 
 
 @dataclass(frozen=True)
 class Settings:
-    train_rows: int = 20_000
-    pairs: int = 100_000
+    block_rows: int = 1_000
+    least_of_kind: int = 16
     ridge: float = 1e-3
     steps: int = 25
     at_cut: float = 0.7
@@ -53,7 +60,7 @@ def strengths(model: Ranking, shapes: np.ndarray) -> np.ndarray:
     if not len(shapes):
         return np.zeros(0)
     # Standardised features are held within what training rows show, so that no odd text runs off.
-    return np.clip((features(shapes) - model.center) / model.scale, -8, 8) @ model.weights
+    return _standard(model, shapes) @ model.weights
 
 
 def scored(model: Ranking, strength: np.ndarray) -> np.ndarray:
@@ -61,42 +68,106 @@ def scored(model: Ranking, strength: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip((strength - model.cut) / model.spread + shift, -40, 40)))
 
 
-def learned(shapes: np.ndarray, good: np.ndarray, how: Settings = Settings()) -> Ranking:
-    """A ranking from shapes and labels. With labels of one kind only all weights are zero and all scores alike."""
-    x = features(shapes)
-    width = 2 * len(textstats.SHAPES) + len(_ROOTS)
-    center = x.mean(axis=0) if len(x) else np.zeros(width)
-    scale = x.std(axis=0) if len(x) else np.ones(width)
+def _standard(model: Ranking, shapes: np.ndarray) -> np.ndarray:
+    return np.clip((features(shapes) - model.center) / model.scale, -8, 8)
+
+
+def _matrix(lists: pa.Array, width: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _summed(df: DataFrame, sums: Callable[[pa.RecordBatch], np.ndarray]) -> list[np.ndarray]:
+    """One array of sums for each batch of rows, in an order that does not change."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([sums(batch).tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+    return [np.array(r.sums) for r in df.mapInArrow(task, "sums array<double>").collect()]
+
+
+def moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Means and deviations of all features over all rows, merged from those of batches."""
+    def of_batch(batch: pa.RecordBatch) -> np.ndarray:
+        x = features(_matrix(batch.column("shapes"), len(textstats.SHAPES)))
+        return np.concatenate(([len(x)], x.mean(axis=0), ((x - x.mean(axis=0)) ** 2).sum(axis=0)))
+
+    n, center, spread = 0.0, 0.0, 0.0
+    for part in _summed(rows.select("shapes"), of_batch):
+        k, mean, squares = part[0], *np.split(part[1:], 2)
+        gap = mean - center
+        center, spread, n = center + gap * k / (n + k), spread + squares + gap**2 * n * k / (n + k), n + k
+    scale = np.sqrt(spread / n)
     scale[scale < 1e-12] = 1.0
-    plus, minus = np.flatnonzero(good), np.flatnonzero(~good)
-    if not len(plus) or not len(minus):
+    return center, scale
+
+
+def blocks(rows: DataFrame, good: int, bad: int, how: Settings) -> DataFrame:
+    """(plus, minus): the shapes of a block's rows of either label. Every row is in a block, those of a rare label in several."""
+    n = -(-(good + bad) // how.block_rows)
+
+    def dealt(quality: int, size: int) -> DataFrame:
+        copies = min(n, -(-how.least_of_kind * n // size))
+        place = F.explode(F.transform(F.sequence(F.lit(0), F.lit(copies - 1)), lambda k: F.pmod(F.xxhash64("doc_id", F.lit(how.seed)) + k, F.lit(n))))
+        return rows.where(F.col("quality") == quality).select("doc_id", "quality", "shapes", place.alias("block"))
+
+    def of_kind(quality: int, name: str) -> Column:
+        found = F.sort_array(F.collect_list(F.when(F.col("quality") == quality, F.struct("doc_id", "shapes"))))
+        return F.flatten(F.transform(found, lambda x: x["shapes"])).alias(name)
+
+    return dealt(1, good).unionByName(dealt(0, bad)).groupBy("block").agg(of_kind(1, "plus"), of_kind(0, "minus")).select("plus", "minus")
+
+
+def _steepness(model: Ranking) -> Callable[[pa.RecordBatch], np.ndarray]:
+    """Pairs, gradient and curvature of the loss, summed over all pairs of each block."""
+    def of_batch(batch: pa.RecordBatch) -> np.ndarray:
+        width = len(model.weights)
+        total = np.zeros(1 + width + width**2)
+        for plus, minus in zip(batch.column("plus"), batch.column("minus")):
+            a, b = (_standard(model, np.asarray(x.values, float).reshape(-1, len(textstats.SHAPES))) for x in (plus, minus))
+            # How likely the worse one of a pair is preferred.
+            p = 1 / (1 + np.exp(np.clip((a @ model.weights)[:, None] - b @ model.weights, -700, 700)))
+            w = p * (1 - p)
+            mixed = a.T @ w @ b
+            curve = (a.T * w.sum(axis=1)) @ a + (b.T * w.sum(axis=0)) @ b - mixed - mixed.T
+            total += np.concatenate(([p.size], p.sum(axis=0) @ b - p.sum(axis=1) @ a, curve.ravel()))
+        return total
+
+    return of_batch
+
+
+def _strength_of(model: Ranking) -> Column:
+    def column(shapes: pa.Array) -> pa.Array:
+        return pa.array(strengths(model, _matrix(shapes, len(textstats.SHAPES))))
+
+    return F.arrow_udf(column, "double")("shapes")
+
+
+def fitted(documents: DataFrame, labels: DataFrame, where: Column | None = None, how: Settings = Settings()) -> Ranking:
+    """A ranking from all labelled documents that pass ``where``. With labels of one kind only all scores are alike."""
+    width = 2 * len(textstats.SHAPES) + len(_ROOTS)
+    rows = stored(textstats.labelled_shapes(documents, labels, where).select("doc_id", "quality", "shapes"), "ranked-shapes")
+    sizes = {r["quality"]: r["count"] for r in rows.groupBy("quality").count().collect()}
+    good, bad = sizes.get(1, 0), sizes.get(0, 0)
+    center, scale = moments(rows) if good + bad else (np.zeros(width), np.ones(width))
+    model = Ranking(center, scale, np.zeros(width), 0.0, 1.0, how.at_cut)
+    if not good or not bad:
+        dropped(rows)
         # All documents score high if all that is known are good ones, low otherwise.
-        return Ranking(center, scale, np.zeros(width), 0.0 if len(plus) else 1.0, 1.0, how.at_cut)
-    z = np.clip((x - center) / scale, -8, 8)
-    rng = np.random.default_rng(how.seed)
-    n = min(how.pairs, 4 * len(plus) * len(minus))
-    apart = z[rng.choice(plus, n)] - z[rng.choice(minus, n)]
-    weights = np.zeros(width)
+        return replace(model, cut=0.0 if good else 1.0)
+    pairs = stored(blocks(rows, good, bad, how), "ranked-pairs")
     for _ in range(how.steps):
-        p = 1 / (1 + np.exp(apart @ weights))
-        gradient = -(apart.T @ p) / n + how.ridge * weights
-        hessian = (apart.T * (p * (1 - p))) @ apart / n + how.ridge * np.eye(width)
-        step = np.linalg.solve(hessian, gradient)
-        weights = weights - step
+        n, rest = np.split(np.sum(_summed(pairs, _steepness(model)), axis=0), [1])
+        gradient, curve = rest[:width] / n + how.ridge * model.weights, rest[width:].reshape(width, width) / n + how.ridge * np.eye(width)
+        step = np.linalg.solve(curve, gradient)
+        model = replace(model, weights=model.weights - step)
         if np.abs(step).max() < 1e-8:
             break
-    strength = z @ weights
-    share = len(minus) / len(z)
-    cut = float(np.quantile(strength, share))
-    return Ranking(center, scale, weights, cut, max(float(np.std(strength)) / 2, 1e-9), how.at_cut)
-
-
-def fitted(documents: DataFrame, labels: DataFrame, where: Column | None = None, how: Settings = Settings()) -> Ranking:
-    """A ranking from at most ``how.train_rows`` labelled documents that pass ``where``; statistics only come to the driver."""
-    rows = textstats.labelled(documents, labels, how.train_rows, where).withColumn("m", textstats.measured(F.col("text")))
-    got = sorted(rows.select("doc_id", "quality", "m.shapes").collect())
-    shapes = np.array([r.shapes for r in got]).reshape(len(got), len(textstats.SHAPES))
-    return learned(shapes, np.array([r.quality == 1 for r in got], bool), how)
+    found = stored(rows.select(_strength_of(model).alias("strength")), "strengths")
+    cut = exact_quantiles(found, [], ["strength"], {"cut": bad / (good + bad)}).first()["cut"]
+    spread = found.agg(F.stddev_pop("strength")).first()[0]
+    dropped(rows, pairs, found)
+    return replace(model, cut=cut, spread=max(spread / 2, 1e-9))
 
 
 def ranked(df: DataFrame, model: Ranking) -> DataFrame:

@@ -113,3 +113,36 @@ def test_all_labelled_rows_set_tolerances_and_threshold(spark, monkeypatch):
     assert seen.count() == 24_000 and seen.where("quality = 1").count() == 21_000
     kept = isolation.judged(rows, forest).where("kept").join(rows.where("quality = 1").select("doc_id"), "doc_id").count()
     assert kept >= 0.995 * 21_000
+
+
+def _ranked_by_all_pairs(shapes, good, ridge=1e-3):
+    """Weights from every pair of a good and a bad row, by brute force."""
+    x = ranking.features(shapes)
+    scale = x.std(axis=0)
+    scale[scale < 1e-12] = 1.0
+    z = np.clip((x - x.mean(axis=0)) / scale, -8, 8)
+    apart = (z[good][:, None] - z[~good][None]).reshape(-1, z.shape[1])
+    weights = np.zeros(z.shape[1])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(apart @ weights))
+        gradient = -(apart.T @ p) / len(apart) + ridge * weights
+        weights = weights - np.linalg.solve((apart.T * (p * (1 - p))) @ apart / len(apart) + ridge * np.eye(len(weights)), gradient)
+    return weights, np.quantile(z @ weights, (~good).mean())
+
+
+def test_ranking_learns_from_all_pairs(documents, labels):
+    rows = textstats.labelled_shapes(documents, labels).orderBy("doc_id").limit(300).select("doc_id", "quality", "shapes").collect()
+    few = documents.where(documents.doc_id.isin([r.doc_id for r in rows]))
+    model = ranking.fitted(few, labels)
+    weights, cut = _ranked_by_all_pairs(np.array([r.shapes for r in rows]), np.array([r.quality == 1 for r in rows]))
+    assert np.allclose(model.weights, weights, atol=1e-5) and abs(model.cut - cut) < 1e-5
+
+
+def test_every_labelled_row_is_in_a_block(spark):
+    """Rows of a rare label are in several blocks, so that no block and no row is without pairs."""
+    width = len(textstats.SHAPES)
+    rows = spark.createDataFrame([(i, int(i % 100 != 0), [float(i)] * width) for i in range(3000)], "doc_id long, quality int, shapes array<double>")
+    found = ranking.blocks(rows, 2970, 30, ranking.Settings(block_rows=100)).collect()
+    plus, minus = ([{int(v) for v in r[k]} for r in found] for k in ("plus", "minus"))
+    assert len(found) == 30 and all(plus) and all(len(m) >= 5 for m in minus)
+    assert set().union(*plus, *minus) == set(range(3000)) and sum(map(len, plus)) == 2970
