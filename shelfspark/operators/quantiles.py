@@ -30,7 +30,8 @@ def exact_quantiles(
     to maximum. A round deals the values of each cell to bins whose counts are added up like those
     of any other key, and keeps as cells the bins that hold a wanted rank, cut to the values in
     them. It is repeated while a cell of unlike values has more than COUNTED_ROWS rows; then the
-    few values left in cells are counted one by one. Only cells, at most two for each
+    few values left in cells are counted one by one. Columns whose cells hold one value each are
+    known by then and are not read again. Only cells, at most two for each
     probability, are kept between rounds. NaN is the greatest value. Quantiles are interpolated
     linearly between ranks.
     """
@@ -46,7 +47,7 @@ def exact_quantiles(
 
     ranks = [edge(rank(p)) for p in probabilities.values() for edge in (F.floor, F.ceil)]
 
-    def in_cells(cells: DataFrame, most: int) -> DataFrame:
+    def in_cells(cells: DataFrame, most: int, wide: Sequence[int] = wide) -> DataFrame:
         """(groups, _i, _n, _value, _cell) of the values of column number _i inside cells, of which a group has at most ``most``."""
         left = rows.withColumnsRenamed({g: f"_g{i}" for i, g in enumerate(group_names)})
         same = [left[f"_g{i}"].eqNullSafe(cells[g]) for i, g in enumerate(group_names)]
@@ -58,6 +59,18 @@ def exact_quantiles(
             structs.append(F.struct(F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n"), value.alias("_value"), holds.alias("_cell")))
         return left.join(sized(cells), same).select(*group_names, F.inline(F.array(*structs))).where("_cell is not null")
 
+    def settled(cells: DataFrame, numbers: Sequence[int]) -> DataFrame:
+        """What counting would give for columns whose cells hold one value each."""
+        def rows_of(i: int) -> Column:
+            return F.transform(f"_c{i}", lambda c: F.struct(F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n"), c["before"].alias("_before"), c["low"].alias("_value"), c["rows"].alias("_rows")))
+
+        return cells.select(*group_names, F.inline(F.concat(*[rows_of(i) for i in numbers]))).where("_rows > 0")
+
+    def unlike(cells: DataFrame) -> list[int]:
+        """The columns that have a cell of unlike values in any group."""
+        found = cells.agg(*[F.max(F.exists(f"_c{i}", lambda c: c["low"] < c["high"])).alias(f"_{i}") for i in wide]).first()
+        return [i for i in wide if found[i]]
+
     def ranked(counted: DataFrame, order: str) -> DataFrame:
         """``counted`` with the ranks from ``_from`` to below ``_through`` that its rows hold."""
         cell = W.partitionBy(*group_names, "_i", "_before").orderBy(order).rowsBetween(W.unboundedPreceding, 0)
@@ -99,7 +112,11 @@ def exact_quantiles(
         cells, most = narrowed(cells, most).checkpoint(), len(ranks)
 
     keys = [*group_names, "_i", "_n", F.col("_cell.before").alias("_before"), "_value"]
-    counted = ranked(in_cells(cells, most).groupBy(*keys).agg(F.count("*").alias("_rows")), "_value")
+    left = unlike(cells)
+    known = [i for i in wide if i not in left]
+    parts = [in_cells(cells, most, left).groupBy(*keys).agg(F.count("*").alias("_rows"))] if left else []
+    parts += [settled(cells, known).select(*group_names, "_i", "_n", "_before", "_value", "_rows")] if known else []
+    counted = ranked(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]), "_value")
     found = counted.groupBy(*group_names, "_i", "_n").agg(*[F.max(F.when(holds(r), F.col("_value"))).alias(f"_r{k}") for k, r in enumerate(ranks)])
     out: list[Column] = []
     for k, (name, p) in enumerate(probabilities.items()):

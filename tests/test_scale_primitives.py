@@ -166,3 +166,19 @@ def test_encoding_with_large_dictionaries(spark, monkeypatch):
     other = spark.createDataFrame([(1, "a", "y"), (2, "z", None), (3, "d", "x")], "id int, k string, m string")
     rows = encoding.encode(other, codes).orderBy("id").collect()
     assert [(r["k"], r["m"]) for r in rows] == [(0.0, 1.0), (-1.0, -1.0), (3.0, 0.0)]
+
+
+def test_columns_of_few_values_are_not_counted_again(spark, monkeypatch):
+    """Once the cells of a column hold one value each, its quantiles are known: only the other columns are read once more."""
+    monkeypatch.setattr(quantiles, "COUNTED_ROWS", 100)
+    rows = spark.range(3000).selectExpr("int(id % 2) AS g", "double(id % 3) AS few", "double(id * id) AS many", "CAST(NULL AS DOUBLE) AS none")
+    found = quantiles.exact_quantiles(rows, ["g"], ["few", "many", "none"], {"q1": 0.25, "q2": 0.5})
+    got = {(r.g, r["column"]): (r.n, r.q1, r.q2) for r in found.collect()}
+    want = {}
+    for g in (0, 1):
+        for name, values in (("few", [i % 3 for i in range(3000) if i % 2 == g]), ("many", [i * i for i in range(3000) if i % 2 == g])):
+            values.sort()
+            want[g, name] = (1500, *[values[int(p)] + (p % 1) * (values[int(p) + 1] - values[int(p)]) for p in (0.25 * 1499, 0.5 * 1499)])
+    assert got == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "many" in plan and "% 3" not in plan
