@@ -335,10 +335,10 @@ def outlier_counts(rows: DataFrame, columns: Sequence[str], method: str = "iqr",
     return counts.select(*keys, F.inline(pairs)).where(F.col("outliers").isNotNull())
 
 
-def outlier_issues(checked: Checked, rows_per_file: DataFrame) -> DataFrame:
-    """Warns where outliers exceed the allowed share of a file's rows."""
+def outlier_issues(checked: Checked, rows_per_file: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Warns where outliers exceed the allowed share of a file's rows. ``counts`` are those of ``outlier_counts``, if known."""
     limit = checked.rules.max_outlier_share
-    counts = outlier_counts(checked.rows, checked.numeric)
+    counts = outlier_counts(checked.rows, checked.numeric) if counts is None else counts
     over = counts.join(rows_per_file, FILE).where(F.col("outliers") / F.col("rows") * 100 > limit)
     return over.select(
         FILE,
@@ -420,8 +420,8 @@ def group_gaps(df: DataFrame, groups: Sequence[str] = ("store_id",), date_col: s
 # --- profile ------------------------------------------------------------------------------
 
 
-def column_profile(checked: Checked) -> DataFrame:
-    """One row per column: nulls, distinct values, and moments of finite numbers.
+def column_profile(checked: Checked, outliers: DataFrame | None = None) -> DataFrame:
+    """One row per column: nulls, distinct values, moments and outliers of finite numbers.
 
     Distinct values are counted on (column, value) pairs after a partial aggregation, not held
     as one set per column.
@@ -445,7 +445,7 @@ def column_profile(checked: Checked) -> DataFrame:
     moments = numbers.groupBy("column").agg(
         F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), F.max(value).alias("max")
     )
-    outliers = outlier_counts(checked.rows, checked.numeric, keys=())
+    outliers = outlier_counts(checked.rows, checked.numeric, keys=()) if outliers is None else outliers
     return (
         base.join(F.broadcast(moments), "column", "left")
         .join(F.broadcast(outliers), "column", "left")
@@ -552,7 +552,7 @@ def _no_issues(df: DataFrame) -> DataFrame:
     )
 
 
-def file_issues(checked: Checked, today: Column | None = None, keys: DataFrame | None = None) -> DataFrame:
+def file_issues(checked: Checked, today: Column | None = None, keys: DataFrame | None = None, outliers: DataFrame | None = None) -> DataFrame:
     """All issues that belong to a file."""
     keys = key_counts(checked).persist() if keys is None else keys
     rows = sized(rows_per_file(checked, keys))
@@ -562,7 +562,7 @@ def file_issues(checked: Checked, today: Column | None = None, keys: DataFrame |
         binary_issues(checked),
         duplicate_row_issues(checked),
         duplicate_key_issues(checked, keys),
-        outlier_issues(checked, rows),
+        outlier_issues(checked, rows, outliers),
     ]
     if checked.rules.date_column in checked.columns:
         parts.append(many_days_issues(checked, keys))
@@ -676,7 +676,9 @@ def frame_report(df: DataFrame, rules: QualityRules = RULES, today: Column | Non
     """Schema, quality and time-series results of a whole frame, with the verdict."""
     # A frame is one unit here, so the per-path checks do not apply.
     checked = check_types(df.drop(FILE), rules)
-    issues = file_issues(checked, today).where(F.col("check") != "file_partition").unionByName(
+    # Issues and profile count the same outliers: their quartiles are found once.
+    outliers = outlier_counts(checked.rows, checked.numeric)
+    issues = file_issues(checked, today, outliers=outliers).where(F.col("check") != "file_partition").unionByName(
         empty_input_issue(df).select(*ISSUE_FIELDS)
     )
     verdict = issues.agg(
@@ -687,7 +689,7 @@ def frame_report(df: DataFrame, rules: QualityRules = RULES, today: Column | Non
     empty = df.sparkSession.createDataFrame([], "date date")
     return FrameReport(
         issues,
-        column_profile(checked),
+        column_profile(checked, outliers.drop(FILE)),
         date_range(empty if dated is None else dated),
         missing_dates(empty if dated is None else dated),
         verdict,

@@ -192,3 +192,15 @@ def test_rules_merge():
     rules = QualityRules().merged({"ranges": {"sales": (1, 2)}, "required": "date", "max_examples": 3, "binary": None})
     assert rules.ranges["sales"] == (1, 2) and rules.ranges["promo2"] == (0, 1)
     assert rules.required == rules.non_null == ("date",) and rules.max_examples == 3
+
+
+def test_a_frame_report_finds_its_quartiles_once(spark, monkeypatch):
+    calls = []
+    real = quality.exact_quantiles
+    monkeypatch.setattr(quality, "exact_quantiles", lambda *how: (calls.append(how), real(*how))[1])
+    rows = spark.range(40).selectExpr("date'2024-01-01' + int(id) AS date", "'store_0001' AS store_id", "if(id = 7, 9e5, 100.0 + id) AS sales", "10.0D AS customer_traffic", "0 AS has_promotion", "1 AS is_open", "0 AS is_holiday")
+    report = quality.frame_report(rows)
+    assert len(calls) == 1
+    alone = quality.column_profile(quality.check_types(rows))
+    assert sorted(map(str, report.profile.collect())) == sorted(map(str, alone.collect()))
+    assert {r["column"]: r["outliers"] for r in report.profile.collect()}["sales"] == 1
