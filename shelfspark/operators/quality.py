@@ -229,6 +229,18 @@ def _has_key(checked: Checked) -> bool:
     return set(checked.rules.key) <= set(checked.columns)
 
 
+def _rows_per_key(checked: Checked, keys: DataFrame | None) -> DataFrame:
+    """(file_path, key columns, rows).
+
+    Key counts already are that where the date is part of the key: a second aggregation by the same
+    columns would hold all keys of a task once more.
+    """
+    counted = _keys(checked, keys)
+    if checked.rules.date_column in checked.rules.key or checked.rules.date_column not in checked.columns:
+        return counted
+    return counted.groupBy(FILE, *checked.rules.key).agg(F.sum("rows").alias("rows"))
+
+
 def rows_per_file(checked: Checked, keys: DataFrame | None = None) -> DataFrame:
     return _keys(checked, keys).groupBy(FILE).agg(F.sum("rows").alias("rows"))
 
@@ -260,7 +272,7 @@ def duplicate_key_issues(checked: Checked, keys: DataFrame | None = None) -> Dat
     if not _has_key(checked):
         return _no_issues(checked.rows)
     key = list(checked.rules.key)
-    per_key = _keys(checked, keys).groupBy(FILE, *key).agg(F.sum("rows").alias("rows")).where("rows > 1")
+    per_key = _rows_per_key(checked, keys).where("rows > 1")
     extra = per_key.groupBy(FILE).agg(F.sum(F.col("rows") - 1).alias("count"))
     text = F.concat(F.lit("Found "), F.col("count").cast("string"), F.lit(f" duplicate row(s) at grain {key}"))
     return extra.select(FILE, F.inline(F.array(_issue("error", "unique_key", None, F.col("count"), text))))
@@ -273,7 +285,7 @@ def cross_file_key_counts(checked: Checked, keys: DataFrame | None = None) -> Da
     first, so the window sees each key at most once per file.
     """
     key = list(checked.rules.key)
-    per_file = _keys(checked, keys).dropna(subset=key).groupBy(*key, FILE).agg(F.sum("rows").alias("rows"))
+    per_file = _rows_per_key(checked, keys).dropna(subset=key)
     earliest = F.min(FILE).over(W.partitionBy(*key))
     return (
         per_file.withColumn("_earliest", earliest)

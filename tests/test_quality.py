@@ -204,3 +204,22 @@ def test_a_frame_report_finds_its_quartiles_once(spark, monkeypatch):
     alone = quality.column_profile(quality.check_types(rows))
     assert sorted(map(str, report.profile.collect())) == sorted(map(str, alone.collect()))
     assert {r["column"]: r["outliers"] for r in report.profile.collect()}["sales"] == 1
+
+
+def test_keys_with_the_date_are_aggregated_once(spark, capsys):
+    checked = quality.check_types(spark.createDataFrame([*CLEAN_ROWS, *BAD_ROWS, *BAD_ROWS[:1]], SCHEMA))
+    issues = quality.duplicate_key_issues(checked)
+    for df in (issues, quality.cross_file_key_counts(checked)):
+        capsys.readouterr()
+        df.explain()
+        lines = capsys.readouterr().out.splitlines()
+        # One partial and one final aggregation.
+        assert sum("Aggregate(keys=[" in line and "store_id" in line.split("functions")[0] for line in lines) == 2
+    assert [(r["file_path"], r["count"]) for r in issues.collect()] == [(BAD, 2)]
+
+
+def test_keys_without_the_date_add_up_its_days(spark):
+    rows = [(CLEAN, "2024-01-01", "store_0001"), (CLEAN, "2024-01-02", "store_0001"), (BAD, "2024-01-03", "store_0001")]
+    checked = quality.check_types(spark.createDataFrame(rows, "file_path string, date string, store_id string"), QualityRules().merged({"key": "store_id"}))
+    assert [(r["file_path"], r["count"]) for r in quality.duplicate_key_issues(checked).collect()] == [(CLEAN, 1)]
+    assert [(r["file_path"], r["count"]) for r in quality.cross_file_key_counts(checked).collect()] == [(BAD, 1)]
