@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark import config
-from shelfspark.functions.stats import correlation
+from shelfspark.functions.stats import correlation, error_metrics
 from shelfspark.operators import baselines, compare, forecast, metrics, registry, reports, splits
 from shelfspark.plans import tables as t
 from shelfspark.plans.catalog import query, rounded
+from shelfspark.session import shared_folder
 from shelfspark.sources import star_tables
 
 ROUNDED_METRICS = "round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(mape, 4) AS mape, round(r2, 4) AS r2"
@@ -431,15 +432,28 @@ MODEL_METRICS_SQL = f"""{t.STORE_PREDICTIONS_SQL}, daily_pred AS (SELECT date, s
       WHEN 'lightgbm_store_level' THEN 1 ELSE 2 END) AS place FROM canonical WHERE known) WHERE place = 1)"""
 
 
-def model_metrics(spark, folder):
-    predictions = t.store_predictions(spark, folder)
-    test = metrics.metric_rows(predictions.where(F.col("split") == "test"), ["model"], yhat="prediction")
-    daily = predictions.where(F.col("model") == "lightgbm").groupBy("date").agg(F.sum("y").alias("y"), F.sum("prediction").alias("yhat"))
+def model_metrics(spark, folder, days=None):
+    """Predictions are made once: one aggregation gives the metrics of a name and, without a name, the totals of a day."""
+    predictions = t.store_predictions(spark, folder, days)
+    model, split = F.col("model"), F.col("split")
+    name = F.when(split == "test", model).when((split == "validation") & (model == "xgboost"), "xgboost_store_level")
+    day = F.when(model == "lightgbm", F.col("date"))
+    uses = F.array(
+        F.struct(name.alias("model"), F.lit(None).cast("date").alias("date")),
+        F.struct(F.lit(None).cast("string").alias("model"), day.alias("date")),
+    )
+    used = predictions.where(name.isNotNull() | day.isNotNull()).select("y", F.col("prediction").alias("yhat"), F.inline(uses))
+    rows = used.where(F.col("model").isNotNull() | F.col("date").isNotNull())
+    totals = [F.sum("y").alias("y"), F.sum("yhat").alias("yhat")]
+    scores = [c.alias(metric) for metric, c in error_metrics(F.col("y"), F.col("yhat")).items()]
+    shared_folder(spark)
+    # One row for each name and day.
+    summed = rows.groupBy("model", "date").agg(*scores, *totals).checkpoint()
+    daily = summed.where(F.col("date").isNotNull())
     named = daily.select("y", "yhat", F.explode(F.array(F.lit("prophet_daily_total"), F.lit("other"))).alias("model"))
-    again = predictions.where((F.col("split") == "validation") & (F.col("model") == "xgboost"))
-    repeat = metrics.metric_rows(again.withColumn("model", F.lit("xgboost_store_level")), ["model"], yhat="prediction")
-    rows = test.unionByName(metrics.metric_rows(named, ["model"])).unionByName(repeat)
-    return rows.withColumnRenamed("model", "model_key").select("model_key", "mae", "rmse", "mape", "r2")
+    columns = ["model", "mae", "rmse", "mape", "r2"]
+    out = summed.where(F.col("model").isNotNull()).select(*columns).unionByName(metrics.metric_rows(named, ["model"]).select(*columns))
+    return out.withColumnRenamed("model", "model_key")
 
 
 @query(
@@ -480,8 +494,9 @@ REPORT_SQL = f"""WITH {MODEL_METRICS_SQL}
 
 
 def performance_rows(spark, folder):
-    canonical = registry.canonicalise(model_metrics(spark, folder))
-    days = t.store_days(spark, folder).groupBy("date").count()
+    panel = t.stored_store_days(spark, folder, t.SERIES)
+    canonical = registry.canonicalise(model_metrics(spark, folder, panel))
+    days = panel.groupBy("date").count()
     batch = days.agg(F.sum("count").alias("total_rows"), F.count("*").alias("total_files_validated"))
     return rounded(registry.performance_report(canonical, registry.best_by_level(canonical), batch))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from shelfspark.operators import baselines, clean, models, panel, splits
 from shelfspark.session import scratch_path
 from shelfspark.sources import star_tables
 
+# What forecasts of a store's series read. The store's type is kept so that a store that occurs twice still ends the job.
+SERIES = ("date", "store_id", "sales", "store_type")
 PANEL_ORDER = ("sales", "customer_traffic", "has_promotion", "is_open", "state_holiday", "school_holiday")
 
 
@@ -22,10 +26,10 @@ def store_days(spark: SparkSession, folder: str) -> DataFrame:
     return panel.store_day_panel(star_tables.raw_sales(spark, folder), star_tables.raw_stores(spark, folder))
 
 
-def stored_store_days(spark: SparkSession, folder: str) -> DataFrame:
+def stored_store_days(spark: SparkSession, folder: str, columns: Sequence[str] = ("*",)) -> DataFrame:
     """The panel, written to the shared folder: for what reads it more than once. The fact table is read once."""
     path = scratch_path(spark, "panel")
-    store_days(spark, folder).write.parquet(path)
+    store_days(spark, folder).select(*columns).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -43,7 +47,7 @@ def labelled_daily(spark: SparkSession, folder: str) -> DataFrame:
 
 def store_predictions(spark: SparkSession, folder: str, panel_rows: DataFrame | None = None) -> DataFrame:
     """(date, store_id, split, model, y, prediction): naive forecasts that stand in for models."""
-    panel_rows = stored_store_days(spark, folder) if panel_rows is None else panel_rows
+    panel_rows = stored_store_days(spark, folder, SERIES) if panel_rows is None else panel_rows
     days = panel_rows.select("date", "store_id", "sales")
     guessed = baselines.add_baselines(days, "date", "sales", ["store_id"])
     labels = splits.date_splits(days)
