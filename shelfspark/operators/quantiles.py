@@ -57,7 +57,13 @@ def exact_quantiles(
             cell = [F.get(f"_c{i}", F.lit(k)) for k in range(most)]
             holds = F.coalesce(*[F.when(value.between(c["low"], c["high"]), c) for c in cell])
             structs.append(F.struct(F.lit(i).alias("_i"), F.col(f"_n{i}").alias("_n"), value.alias("_value"), holds.alias("_cell")))
-        return left.join(sized(cells), same).select(*group_names, F.inline(F.array(*structs))).where("_cell is not null")
+        joined = left.join(sized(cells), same)
+        if len(structs) == 1:
+            # Without an array that is made and taken apart for every row.
+            long = joined.select(*group_names, structs[0].alias("_one")).select(*group_names, "_one.*")
+        else:
+            long = joined.select(*group_names, F.inline(F.array(*structs)))
+        return long.where("_cell is not null")
 
     def settled(cells: DataFrame, numbers: Sequence[int]) -> DataFrame:
         """What counting would give for columns whose cells hold one value each."""

@@ -9,7 +9,7 @@ from shelfspark.functions.stats import correlation, error_metrics
 from shelfspark.operators import baselines, compare, forecast, metrics, registry, reports, splits
 from shelfspark.plans import tables as t
 from shelfspark.plans.catalog import query, rounded
-from shelfspark.session import shared_folder
+from shelfspark.session import scratch_path, shared_folder
 from shelfspark.sources import star_tables
 
 ROUNDED_METRICS = "round(mae, 4) AS mae, round(rmse, 4) AS rmse, round(mape, 4) AS mape, round(r2, 4) AS r2"
@@ -305,8 +305,12 @@ def daily_residuals(spark, folder):
 RESIDUAL_SQL = f"{t.STORE_PREDICTIONS_SQL}, res AS (SELECT date, store_id, model, split, y, y - prediction AS residual FROM predictions)"
 
 
-def residual_rows(spark, folder):
-    return t.store_predictions(spark, folder).withColumn("residual", F.col("y") - F.col("prediction"))
+def residual_rows(spark, folder, *keys):
+    """(model, keys, residual), written to the shared folder: quantiles, ranks and histograms read it several times."""
+    rows = t.store_predictions(spark, folder).select("model", *keys, (F.col("y") - F.col("prediction")).alias("residual"))
+    path = scratch_path(spark, "residuals")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @query(
@@ -346,7 +350,7 @@ def _normal_sql(p: str) -> str:
     SELECT model, rank, round({_normal_sql('q')}, 4) AS theoretical, round(residual, 4) AS sample FROM p""",
 )
 def normal_quantile_points(spark, folder):
-    points = reports.normal_quantile_points(residual_rows(spark, folder), ["date", "store_id"])
+    points = reports.normal_quantile_points(residual_rows(spark, folder, "date", "store_id"), ["date", "store_id"])
     return rounded(points.drop("date", "store_id"))
 
 

@@ -37,3 +37,10 @@ def test_a_report_reads_the_facts_once(spark, calls, name):
 @pytest.mark.parametrize("name", ["performance_report", "best_model_per_level", "registration_plan", "metric_comparison"])
 def test_model_metrics_do_not_predict_again(spark, capsys, name):
     assert "rolling_7" not in plan_of(QUERIES[name].build(spark, FOLDER), capsys)
+
+
+@pytest.mark.parametrize("name", ["residual_summary", "error_histogram", "residual_histogram"])
+def test_residuals_are_stored_before_they_are_read_again(spark, capsys, calls, name):
+    plan = plan_of(QUERIES[name].build(spark, FOLDER), capsys)
+    assert "rolling_7" not in plan and "Window [lag" not in plan
+    assert calls == ["raw_sales", "add_baselines"]
