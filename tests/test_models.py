@@ -277,3 +277,18 @@ def test_equal_models_are_best_whatever_the_last_bits_of_their_metrics(spark):
     rows = [("a", 0.1 + 0.2, 2.0, nan, 0.9), ("b", 0.3, 2.0 + 1e-6, nan, 0.9 - 1e-16), ("c", None, 3.0, inf, -inf)]
     got = compare.metric_comparison(spark.createDataFrame(rows, "model string, mae double, rmse double, mape double, r2 double")).where("is_best").collect()
     assert sorted((r.metric, r.model) for r in got) == [("mae", "a"), ("mae", "b"), ("mape", "c"), ("r2", "a"), ("r2", "b"), ("rmse", "a")]
+
+
+def test_wide_rows_are_generated_as_small_methods(spark):
+    """Also in a session that others have built; a limit of its own stays."""
+    from shelfspark.session import small_methods
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        for own, wanted in (("65535", "8000"), ("4000", "4000")):
+            spark.conf.set(name, own)
+            small_methods(spark)
+            assert spark.conf.get(name) == wanted
+    finally:
+        spark.conf.set(name, before)
